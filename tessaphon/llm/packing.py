@@ -36,7 +36,7 @@ from .common import cut, join_checked
 
 #: Groups of large lengths, the share of the capacity beyond which a length is
 #: large, rows of a length that one window orders.
-GROUPS, LARGE, TOGETHER = 64, 1 / 8, 100_000
+GROUPS, LARGE, TOGETHER = 64, 1 / 5, 100_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 

@@ -4,15 +4,38 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import licenses, sharding
+from . import licenses, packing, sentencepiece_fst, sharding
+from .common import cut
 
 SHARD_BYTES = 64 << 20
+CONTEXT, END_ID = 4096, 1
 
 
 def _read(spark, sf_dir, table):
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def _tokenizer_file(name):
+    import public_tokenizers
+
+    with open(public_tokenizers.path(name), "rb") as file:
+        return file.read()
+
+
+def op2_sentencepiece(spark, sf_dir):
+    """Ids and the text decoded from them, as digests; decoded_sha256 equals the text's where decoding gives it back."""
+    model = _tokenizer_file("piece_bpe_32k.model")
+    docs = _read(spark, sf_dir, "documents")
+    found = sentencepiece_fst.decode(sentencepiece_fst.encode(docs, model), model)
+    return found.select("doc_id", F.size("ids").cast("long").alias("n_ids"), F.xxhash64("ids").alias("ids_hash"), F.length("text").cast("long").alias("decoded_chars"), F.sha2("text", 256).alias("decoded_sha256"))
+
+
+def op3_packing(spark, sf_dir):
+    docs = _read(spark, sf_dir, "documents")
+    items = cut(packing.pieces(docs, _tokenizer_file("word_bpe_49k.json"), CONTEXT, END_ID), "pack-pieces")
+    return packing.pack(items, CONTEXT)
+
+
 def op5_sharding(spark, sf_dir):
     return sharding.shard(_read(spark, sf_dir, "documents"), SHARD_BYTES)
 
@@ -22,8 +45,8 @@ def op6_licenses(spark, sf_dir):
 
 
 def queries() -> dict:
-    return {"op5_sharding": op5_sharding, "op6_licenses": op6_licenses}
+    return {"op2_sentencepiece": op2_sentencepiece, "op3_packing": op3_packing, "op5_sharding": op5_sharding, "op6_licenses": op6_licenses}
 
 
 def oracle_sql() -> dict:
-    return {"op5_sharding": sharding.oracle(SHARD_BYTES), "op6_licenses": licenses.oracle()}
+    return {"op2_sentencepiece": op2_sentencepiece, "op3_packing": op3_packing, "op5_sharding": sharding.oracle(SHARD_BYTES), "op6_licenses": licenses.oracle()}
