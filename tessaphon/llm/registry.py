@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import licenses, packing, sentencepiece_fst, sharding
+from . import chat, licenses, media, packing, sentencepiece_fst, sharding
 from .common import cut
 
 SHARD_BYTES = 64 << 20
@@ -36,6 +36,18 @@ def op3_packing(spark, sf_dir):
     return packing.pack(items, CONTEXT)
 
 
+def op4_chat(spark, sf_dir):
+    rows = _read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    told = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-1, 0, "user", told), (-1, 1, "assistant", told)], "conv_id long, turn long, role string, text string")
+    return chat.read_back(chat.conversations(chat.chains(rows.unionByName(extra))), "tree").withColumnRenamed("tree", "conv_id")
+
+
+def op10_media(spark, sf_dir):
+    folder = media.store(_read(spark, sf_dir, "documents"), "doc_id", "text")
+    return media.features(media.read(spark, folder)).withColumnRenamed("id", "doc_id")
+
+
 def op5_sharding(spark, sf_dir):
     return sharding.shard(_read(spark, sf_dir, "documents"), SHARD_BYTES)
 
@@ -45,8 +57,8 @@ def op6_licenses(spark, sf_dir):
 
 
 def queries() -> dict:
-    return {"op2_sentencepiece": op2_sentencepiece, "op3_packing": op3_packing, "op5_sharding": op5_sharding, "op6_licenses": op6_licenses}
+    return {"op2_sentencepiece": op2_sentencepiece, "op3_packing": op3_packing, "op4_chat": op4_chat, "op5_sharding": op5_sharding, "op6_licenses": op6_licenses, "op10_media": op10_media}
 
 
 def oracle_sql() -> dict:
-    return {"op2_sentencepiece": op2_sentencepiece, "op3_packing": op3_packing, "op5_sharding": sharding.oracle(SHARD_BYTES), "op6_licenses": licenses.oracle()}
+    return {"op5_sharding": sharding.oracle(SHARD_BYTES), "op6_licenses": licenses.oracle()}
