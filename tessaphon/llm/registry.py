@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import chat, licenses, media, packing, sentencepiece_fst, sharding
+from . import chat, licenses, media, packing, quality, sentencepiece_fst, sharding
 from .common import cut
 
 SHARD_BYTES = 64 << 20
@@ -43,6 +43,11 @@ def op4_chat(spark, sf_dir):
     return chat.read_back(chat.conversations(chat.chains(rows.unionByName(extra))), "tree").withColumnRenamed("tree", "conv_id")
 
 
+def op7_quality(spark, sf_dir):
+    judged, own = quality.judge(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "lang", f"{own}.*")
+
+
 def op10_media(spark, sf_dir):
     folder = media.store(_read(spark, sf_dir, "documents"), "doc_id", "text")
     return media.features(media.read(spark, folder)).withColumnRenamed("id", "doc_id")
@@ -57,7 +62,7 @@ def op6_licenses(spark, sf_dir):
 
 
 def queries() -> dict:
-    return {"op2_sentencepiece": op2_sentencepiece, "op3_packing": op3_packing, "op4_chat": op4_chat, "op5_sharding": op5_sharding, "op6_licenses": op6_licenses, "op10_media": op10_media}
+    return {"op2_sentencepiece": op2_sentencepiece, "op3_packing": op3_packing, "op4_chat": op4_chat, "op5_sharding": op5_sharding, "op6_licenses": op6_licenses, "op7_quality": op7_quality, "op10_media": op10_media}
 
 
 def oracle_sql() -> dict:
