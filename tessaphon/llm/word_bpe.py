@@ -3,8 +3,8 @@
 Ids are those of ``Tokenizer.encode(text, add_special_tokens=False)``.  A text
 is cut at spaces and line ends, which such a tokenizer drops; what stands
 between them is encoded by itself and remembered.  Plain words (Latin letters,
-then ASCII punctuation) go through a merge transducer made from the file's
-merges, everything else through the library.
+then ASCII punctuation) go straight to the library's merging model, everything
+else through its whole chain.
 """
 
 from __future__ import annotations
@@ -13,12 +13,11 @@ import json
 import re
 import struct
 
-from .wfst import Memo, Merges, MergeTransducer
+from .wfst import Memo
 
 #: Remembered words in a worker.
 REMEMBERED = 300_000
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-^`{-~]*)").fullmatch
-_END = "\x01"
 
 
 def _byte_letters() -> dict[int, str]:
@@ -46,14 +45,7 @@ class WordTokenizer:
         spec = json.loads(text)
         if not supported(spec):
             raise ValueError("not a word-level BPE file with NFC, lower case and word ends")
-        mark = lambda s: s[:-4] + _END if s.endswith("</w>") else s
-        pieces = {mark(p): k for p, k in spec["model"]["vocab"].items()}
-        ranks = {}
-        for k, m in enumerate(spec["model"]["merges"]):
-            a, b = m.split(" ") if isinstance(m, str) else m
-            ranks[mark(a), mark(b)] = k
-        symbols = lambda s: [*s[:-2], s[-2:]] if s.endswith(_END) else list(s)
-        self.machine = MergeTransducer(pieces, Merges(lambda a, b, get=ranks.get: get((a, b))), symbols, open_=False)
+        self.model = self.library.model
         letters = _byte_letters()
         self.latin = {c: "".join(letters[x] for x in chr(c).encode()) for c in range(0xC0, 0x100)}
         self.words = Memo(self._word, REMEMBERED)
@@ -66,8 +58,8 @@ class WordTokenizer:
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def _word(self, word: str) -> bytes:
-        path = self.machine.shortest((word if word.isascii() else word.translate(self.latin)) + _END)
-        return struct.pack(f"<{len(path)}I", *map(self.machine.pieces.__getitem__, path))
+        found = [x.id for x in self.model.tokenize(word if word.isascii() else word.translate(self.latin))]
+        return struct.pack(f"<{len(found)}I", *found)
 
     def _chunk(self, chunk: str) -> bytes:
         plain = _PLAIN(chunk)
