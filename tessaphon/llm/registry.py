@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import chat, licenses, media, packing, quality, sentencepiece_fst, sharding
+from . import chat, jaccard, licenses, media, packing, quality, sentencepiece_fst, sharding
 from .common import cut
 
 SHARD_BYTES = 64 << 20
@@ -48,6 +48,10 @@ def op7_quality(spark, sf_dir):
     return judged.select("doc_id", "lang", f"{own}.*")
 
 
+def op8_jaccard(spark, sf_dir):
+    return jaccard.join(_read(spark, sf_dir, "documents"))
+
+
 def op10_media(spark, sf_dir):
     folder = media.store(_read(spark, sf_dir, "documents"), "doc_id", "text")
     return media.features(media.read(spark, folder)).withColumnRenamed("id", "doc_id")
@@ -62,8 +66,8 @@ def op6_licenses(spark, sf_dir):
 
 
 def queries() -> dict:
-    return {"op2_sentencepiece": op2_sentencepiece, "op3_packing": op3_packing, "op4_chat": op4_chat, "op5_sharding": op5_sharding, "op6_licenses": op6_licenses, "op7_quality": op7_quality, "op10_media": op10_media}
+    return {"op2_sentencepiece": op2_sentencepiece, "op3_packing": op3_packing, "op4_chat": op4_chat, "op5_sharding": op5_sharding, "op6_licenses": op6_licenses, "op7_quality": op7_quality, "op8_jaccard": op8_jaccard, "op10_media": op10_media}
 
 
 def oracle_sql() -> dict:
-    return {"op5_sharding": sharding.oracle(SHARD_BYTES), "op6_licenses": licenses.oracle()}
+    return {"op5_sharding": sharding.oracle(SHARD_BYTES), "op6_licenses": licenses.oracle(), "op8_jaccard": jaccard.oracle()}
