@@ -325,8 +325,8 @@ k AS (SELECT doc_id, array_to_string(ws, ' ') AS key, ws FROM w),
 c AS (SELECT key, min(doc_id) AS first, count(*) AS copies, any_value(ws) AS ws FROM k WHERE key <> '' GROUP BY key),
 s AS (SELECT DISTINCT first, copies, unnest(CASE WHEN len(ws) < {WORDS} THEN [key] ELSE list_transform(range(1, len(ws) - {WORDS} + 2), lambda i: array_to_string(ws[i:i + {WORDS} - 1], ' ')) END) AS g FROM c),
 n AS (SELECT first, copies, count(*) AS n FROM s GROUP BY ALL),
-p AS (SELECT a.first AS a, b.first AS b, count(*) AS both FROM s a JOIN s b ON a.g = b.g AND a.first <> b.first GROUP BY ALL),
-e AS (SELECT a, b, y.copies FROM p JOIN n x ON x.first = a JOIN n y ON y.first = b WHERE 5 * both >= 4 * (x.n + y.n - both)),
+p AS (SELECT a.first AS a, b.first AS b, count(*) AS shared FROM s a JOIN s b ON a.g = b.g AND a.first <> b.first GROUP BY ALL),
+e AS (SELECT a, b, y.copies FROM p JOIN n x ON x.first = a JOIN n y ON y.first = b WHERE 5 * shared >= 4 * (x.n + y.n - shared)),
 r AS (SELECT first AS node, first AS seen FROM n UNION SELECT r.node, e.b FROM r JOIN e ON e.a = r.seen),
 m AS (SELECT node, min(seen) AS class_id FROM r GROUP BY node),
 l AS (SELECT a, sum(copies) AS links FROM e GROUP BY a)

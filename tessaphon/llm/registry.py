@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import chat, jaccard, licenses, media, packing, quality, sentencepiece_fst, sharding
+from . import chat, jaccard, licenses, linededup, media, packing, quality, sentencepiece_fst, sharding
 from .common import cut
 
 SHARD_BYTES = 64 << 20
@@ -15,7 +15,7 @@ def _read(spark, sf_dir, table):
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def _tokenizer_file(name):
+def tokenizer_file(name):
     import public_tokenizers
 
     with open(public_tokenizers.path(name), "rb") as file:
@@ -24,7 +24,7 @@ def _tokenizer_file(name):
 
 def op2_sentencepiece(spark, sf_dir):
     """Ids and the text decoded from them, as digests; decoded_sha256 equals the text's where decoding gives it back."""
-    model = _tokenizer_file("piece_bpe_32k.model")
+    model = tokenizer_file("piece_bpe_32k.model")
     docs = _read(spark, sf_dir, "documents")
     found = sentencepiece_fst.decode(sentencepiece_fst.encode(docs, model), model)
     return found.select("doc_id", F.size("ids").cast("long").alias("n_ids"), F.xxhash64("ids").alias("ids_hash"), F.length("text").cast("long").alias("decoded_chars"), F.sha2("text", 256).alias("decoded_sha256"))
@@ -32,7 +32,7 @@ def op2_sentencepiece(spark, sf_dir):
 
 def op3_packing(spark, sf_dir):
     docs = _read(spark, sf_dir, "documents")
-    items = cut(packing.pieces(docs, _tokenizer_file("word_bpe_49k.json"), CONTEXT, END_ID), "pack-pieces")
+    items = cut(packing.pieces(docs, tokenizer_file("word_bpe_49k.json"), CONTEXT, END_ID), "pack-pieces")
     return packing.pack(items, CONTEXT)
 
 
@@ -52,6 +52,11 @@ def op8_jaccard(spark, sf_dir):
     return jaccard.join(_read(spark, sf_dir, "documents"))
 
 
+def op9_linededup(spark, sf_dir):
+    found = linededup.dedup(_read(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.size(F.split("text", "\n")).cast("long").alias("n_lines"), F.char_length("text").cast("long").alias("n_chars"), F.sha2("text", 256).alias("text_sha256"))
+
+
 def op10_media(spark, sf_dir):
     folder = media.store(_read(spark, sf_dir, "documents"), "doc_id", "text")
     return media.features(media.read(spark, folder)).withColumnRenamed("id", "doc_id")
@@ -66,7 +71,7 @@ def op6_licenses(spark, sf_dir):
 
 
 def queries() -> dict:
-    return {"op2_sentencepiece": op2_sentencepiece, "op3_packing": op3_packing, "op4_chat": op4_chat, "op5_sharding": op5_sharding, "op6_licenses": op6_licenses, "op7_quality": op7_quality, "op8_jaccard": op8_jaccard, "op10_media": op10_media}
+    return {"op2_sentencepiece": op2_sentencepiece, "op3_packing": op3_packing, "op4_chat": op4_chat, "op5_sharding": op5_sharding, "op6_licenses": op6_licenses, "op7_quality": op7_quality, "op8_jaccard": op8_jaccard, "op9_linededup": op9_linededup, "op10_media": op10_media}
 
 
 def oracle_sql() -> dict:
