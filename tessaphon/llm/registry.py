@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import chat, jaccard, licenses, linededup, media, packing, quality, sentencepiece_fst, sharding
+from . import ann, chat, jaccard, licenses, linededup, media, packing, quality, sentencepiece_fst, sharding
 from .common import cut
 
 SHARD_BYTES = 64 << 20
 CONTEXT, END_ID = 4096, 1
+QUERY_EVERY, NEIGHBOURS = 20, 20
 
 
 def _read(spark, sf_dir, table):
@@ -22,6 +23,10 @@ def tokenizer_file(name):
         return file.read()
 
 
+def op1_ann(spark, sf_dir):
+    return ann.search(_read(spark, sf_dir, "embeddings"), QUERY_EVERY, NEIGHBOURS)
+
+
 def op2_sentencepiece(spark, sf_dir):
     """Ids and the text decoded from them, as digests; decoded_sha256 equals the text's where decoding gives it back."""
     model = tokenizer_file("piece_bpe_32k.model")
@@ -71,7 +76,7 @@ def op6_licenses(spark, sf_dir):
 
 
 def queries() -> dict:
-    return {"op2_sentencepiece": op2_sentencepiece, "op3_packing": op3_packing, "op4_chat": op4_chat, "op5_sharding": op5_sharding, "op6_licenses": op6_licenses, "op7_quality": op7_quality, "op8_jaccard": op8_jaccard, "op9_linededup": op9_linededup, "op10_media": op10_media}
+    return {"op1_ann": op1_ann, "op2_sentencepiece": op2_sentencepiece, "op3_packing": op3_packing, "op4_chat": op4_chat, "op5_sharding": op5_sharding, "op6_licenses": op6_licenses, "op7_quality": op7_quality, "op8_jaccard": op8_jaccard, "op9_linededup": op9_linededup, "op10_media": op10_media}
 
 
 def oracle_sql() -> dict:
