@@ -1,0 +1,7 @@
+"""Schemas of the tables that the engine passes on."""
+
+FILES = "class_label string, file_name string, path string, length long, file_ord int, sr_native int, n_native long, total_duration_sec double, num_chunks int"
+CHUNKS = "class_label string, file_name string, file_ord int, chunk_idx int, variant int, steps int, ord long, sr int, shape array<int>, y array<float>"
+INTERVALS = "sample_id int, ord int, phone string, t0 double, t1 double"
+SEGMENTS = "sample_id int, ord int, phone string, t0 double, t1 double, sr int, y array<double>"
+FEATURES = "label string, safe_name string, arr_idx int, kind string, shape array<int>, dtype string, re array<float>, im array<float>"
