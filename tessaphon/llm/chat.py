@@ -90,14 +90,17 @@ def conversations(messages: DataFrame, top: int = 1) -> DataFrame:
     own = ids.select("tree", F.col("node").alias("parent")).withColumn("known", F.lit(True))
     # A step leads from a message to the one ``dist`` above it; ``total`` sums the scores passed on the way.
     step = cut(ids.join(own, ["tree", "parent"], "left").select("tree", "node", F.when(F.col("known"), F.col("parent")).alias("up"), F.col("score").alias("total"), F.lit(1).cast("long").alias("dist")), "chat-steps")
-    steps, n = [], ids.count()
+    # ``ended`` holds the messages whose steps have passed the root; only the others go on.
+    steps, ended, n = [], step.filter("up is null"), ids.count()
     while not step.filter("up is not null").isEmpty() and (1 << len(steps)) <= 2 * n:
         steps.append(step)
-        above = step.select("tree", F.col("node").alias("up"), F.col("up").alias("up2"), F.col("total").alias("total2"), F.col("dist").alias("dist2"))
-        joined = step.join(above, ["tree", "up"], "left")
-        step = cut(joined.select("tree", "node", F.col("up2").alias("up"), (F.col("total") + F.coalesce("total2", F.lit(0.0))).alias("total"), (F.col("dist") + F.coalesce("dist2", F.lit(0))).alias("dist")), "chat-steps")
+        going = step.filter("up is not null")
+        above = ended.unionByName(going).select("tree", F.col("node").alias("up"), F.col("up").alias("up2"), F.col("total").alias("total2"), F.col("dist").alias("dist2"))
+        joined = going.join(above, ["tree", "up"])
+        step = cut(joined.select("tree", "node", F.col("up2").alias("up"), (F.col("total") + F.col("total2")).alias("total"), (F.col("dist") + F.col("dist2")).alias("dist")), "chat-steps")
+        ended = ended.unionByName(step.filter("up is null"))
     inner = ids.filter("parent is not null").select("tree", F.col("parent").alias("node")).distinct()
-    leaves = step.filter("up is null").join(inner, ["tree", "node"], "left_anti")
+    leaves = ended.join(inner, ["tree", "node"], "left_anti")
     ranked = Window.partitionBy("tree").orderBy(F.desc(F.col("total") / F.col("dist")), "node")
     chosen = leaves.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= top)
     path = cut(chosen.select("tree", F.col("node").alias("leaf"), "rank", "node", F.lit(0).cast("long").alias("above")), "chat-paths")
@@ -107,7 +110,6 @@ def conversations(messages: DataFrame, top: int = 1) -> DataFrame:
         longer = cut(path.unionByName(more), "chat-paths")
         forget(path)
         path = longer
-    forget(*steps)
     told = path.join(rows, ["tree", "node"]).groupBy("tree", "leaf", "rank").agg(F.array_sort(F.collect_list(F.struct((-F.col("above")).alias("k"), "role", "text"))).alias("turns"))
     back = F.when(F.col("tree") != "-", F.substring("tree", 2, 1 << 30)).cast(kind)
     return formatted(told.select(back.alias("tree"), "leaf", "rank", F.col("turns.role").alias("roles"), F.col("turns.text").alias("texts")))
