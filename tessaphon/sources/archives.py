@@ -16,9 +16,9 @@ def write_features(features: DataFrame, path: str) -> None:
 
 
 def read_features(spark: SparkSession, path: str) -> DataFrame:
-    parts = F.regexp_extract(F.input_file_name(), r"safe_name=([^/]*)/", 1)
+    """The label is in the files, so names that a folder can't hold unchanged come back right."""
     files = spark.read.option("recursiveFileLookup", "true").parquet(path)
-    return files.withColumn("safe_name", F.url_decode(parts))
+    return files.withColumn("safe_name", partition_name(F.col("label")))
 
 
 def read_npz(spark: SparkSession, folder: str, files: int | None = None, compat_labels: bool = False, explode_leading: bool = True) -> DataFrame:
