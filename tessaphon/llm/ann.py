@@ -12,7 +12,8 @@ Search.  All queries walk the graph at once.  A query's state is a bounded list
 of the best nodes so far; in each round, the best of those not yet expanded are
 joined with their neighbours, these are scored in the blocks of the vector
 table (queries are sent only to blocks that hold a node they ask for), and the
-state keeps the best.  A query that the graph leaves with too few nodes is
+state keeps the best.  A query starts at its own node, and at the longest nodes
+if it is shorter.  A query that the graph leaves with too few nodes is
 compared with all vectors, block by block.
 
 Every row is indexed; hot vectors are one node; a node's in-edges are cut to
@@ -36,7 +37,9 @@ from .common import cut, forget
 
 #: Neighbours kept; trees and window of the first graph; rounds; neighbours compared at a node;
 #: best of them that one node is told; search list, expansions in a round, rounds; nodes in a block.
-DEGREE, TREES, WINDOW, DESCENTS, MET, TOLD, LIST, EXPAND, WALKS, BLOCK = 48, 6, 1024, 2, 40, 16, 160, 40, 5, 4096
+DEGREE, TREES, WINDOW, DESCENTS, MET, TOLD, LIST, EXPAND, WALKS, BLOCK = 48, 6, 1024, 2, 40, 16, 160, 40, 6, 4096
+#: Longest nodes from which a query starts, besides its own, if it is shorter than they are.
+LONGEST = 96
 
 
 def _i8(x) -> bytes:
@@ -102,7 +105,7 @@ def build(table: DataFrame, degree: int = DEGREE, trees: int = TREES, window: in
             out = []
             for v in batch[1]:
                 x = np.frombuffer(v.as_py())
-                out.append((np.append(x, max(0.0, top - (x**2).sum()) ** 0.5) / top**0.5).astype("<f2").tobytes())
+                out.append((np.append(x, max(0.0, top - (x**2).sum()) ** 0.5) / top**0.5).astype("<f4").tobytes())
             yield pa.RecordBatch.from_arrays([batch[0], batch[1], pa.array(out, pa.binary())], ["node", "vec", "gvec"])
 
     nodes = cut(nodes.mapInArrow(lengthen, "node long, vec binary, gvec binary"), "ann-nodes")
@@ -113,7 +116,7 @@ def build(table: DataFrame, degree: int = DEGREE, trees: int = TREES, window: in
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x = np.frombuffer(b"".join(batch[1].to_pylist()), "<f2").reshape(batch.num_rows, -1).astype(np.float32)
+            x = np.frombuffer(b"".join(batch[1].to_pylist()), "<f4").reshape(batch.num_rows, -1)
             for tree in range(trees):
                 along = x @ np.random.default_rng(1000 + tree).standard_normal((x.shape[1], bits + 1)).astype(np.float32)
                 code = ((along[:, :bits] > 0) << np.arange(bits - 1, -1, -1)).sum(axis=1)
@@ -139,7 +142,7 @@ def build(table: DataFrame, degree: int = DEGREE, trees: int = TREES, window: in
         for batch in batches:
             if not batch.num_rows:
                 continue
-            more = np.frombuffer(b"".join(batch[4].to_pylist()), "<f2").reshape(batch.num_rows, -1).astype(np.float32)
+            more = np.frombuffer(b"".join(batch[4].to_pylist()), "<f4").reshape(batch.num_rows, -1)
             ids, x = np.concatenate([ids, batch[3].to_numpy()]), more if x is None else np.concatenate([x, more])
             while len(ids) >= window + step:
                 yield from compare(ids[:window], x[:window])
@@ -192,7 +195,7 @@ def _descend(graph: DataFrame, nodes: DataFrame) -> DataFrame:
             out = [[], [], []]
             for members in batch[1].to_pylist():
                 ids = np.array([m["node"] for m in members])
-                x = np.frombuffer(b"".join(m["gvec"] for m in members), "<f2").reshape(len(ids), -1).astype(np.float32)
+                x = np.frombuffer(b"".join(m["gvec"] for m in members), "<f4").reshape(len(ids), -1)
                 s = x @ x.T
                 np.fill_diagonal(s, -np.inf)
                 s[s <= np.array([m["worst"] for m in members], np.float32)[:, None]] = -np.inf
@@ -216,13 +219,13 @@ def _descend(graph: DataFrame, nodes: DataFrame) -> DataFrame:
     return met.mapInArrow(meet, "node long, ids binary, scores binary")
 
 
-def walk(queries: DataFrame, nodes: DataFrame, graph: DataFrame, most: int) -> DataFrame:
+def walk(queries: DataFrame, nodes: DataFrame, graph: DataFrame) -> DataFrame:
     """queries: q, vec, entry (a node).  q, ids, scores: the best nodes found; a cut table."""
 
     def start(batches):
         for batch in batches:
-            n = batch.num_rows
-            yield pa.RecordBatch.from_arrays([batch[0], batch[1], pa.array([_i8([e]) for e in batch[2].to_pylist()], pa.binary()), pa.array([_f8([-np.inf])] * n, pa.binary()), pa.array([b"\0"] * n, pa.binary())], names)
+            ids = [np.unique([e, *(longest if (np.frombuffer(v) ** 2).sum() < least else ())]).astype(np.int64) for e, v in zip(batch[2].to_pylist(), batch[1].to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch[0], batch[1], pa.array([_i8(i) for i in ids], pa.binary()), pa.array([_f8(np.full(len(i), -np.inf)) for i in ids], pa.binary()), pa.array([bytes(len(i)) for i in ids], pa.binary())], names)
 
     def frontier(batches):
         for batch in batches:
@@ -296,6 +299,9 @@ def walk(queries: DataFrame, nodes: DataFrame, graph: DataFrame, most: int) -> D
     parts, n = int(spark.conf.get("spark.sql.shuffle.partitions")), nodes.count()
     blocks = max(1, -(-n // BLOCK))
     adjacent = graph.select("node", "ids")
+    # Nodes that are longer than a query can have a larger product with it than any near its own place.
+    measured = nodes.select("node", "vec").mapInArrow(_itself, "q long, self double").orderBy(F.desc("self"), "q").limit(LONGEST).collect()
+    longest, least = [r["q"] for r in measured], 0.98 * measured[-1]["self"] if measured else 0.0
     state = cut(queries.select("q", "vec", "entry").mapInArrow(start, kinds), "ann-state")
     for _ in range(WALKS):
         ends = cut(state.select("q", "ids", "done").mapInArrow(frontier, "q long, node long"), "ann-frontier")
@@ -382,7 +388,7 @@ def search(table: DataFrame, every: int, k: int, id_col: str = "vec_id", vec_col
     smallest = cut(members.withColumn("c", F.row_number().over(copy)).filter(F.col("c") <= k + 1).select("node", "id"), "ann-members")
     asked = cut(members.filter(F.pmod("id", F.lit(every)) == 0).select("node", F.col("id").alias("query_id")), "ann-queries")
     entries = asked.select("node").distinct().join(nodes.select("node", "vec"), "node")
-    found = walk(entries.select(F.col("node").alias("q"), "vec", F.col("node").alias("entry")), nodes, graph, k)
+    found = walk(entries.select(F.col("node").alias("q"), "vec", F.col("node").alias("entry")), nodes, graph)
     # The query's own node belongs to its candidates for the sake of its copies.
     own = entries.select(F.col("node").alias("q"), F.col("node"), F.lit(None).cast("double").alias("score"))
     pairs = found.select("q", F.explode(F.arrays_zip("ids", "scores")).alias("p")).select("q", F.col("p.ids").alias("node"), F.col("p.scores").alias("score"))
