@@ -9,7 +9,8 @@ as the capacity has tokens, however many documents there are:
 2. With these few sizes, the linear programme over bin configurations is solved
    by column generation, and its solution rounded down.
 3. Actual documents take the places of their groups' sizes, which leaves each
-   bin at least as much room as the configuration said.
+   bin at least as much room as the configuration said; bins left with too much
+   of it are given up again.
 4. What is left, then small lengths, go best-fit, longest first, into the
    tightest room that is left; runs of equal rooms are filled in one step.
 
@@ -37,6 +38,8 @@ from .common import cut, join_checked
 #: Groups of large lengths, the share of the capacity beyond which a length is
 #: large, rows of a length that one window orders.
 GROUPS, LARGE, TOGETHER = 64, 1 / 5, 100_000
+#: Shares of the capacity beyond which the room of a configuration's sequence is too much (1: never).
+LOOSE = (1, 1 / 8, 1 / 32, 1 / 128, 1 / 512)
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -87,46 +90,72 @@ def pack(items: DataFrame, capacity: int) -> DataFrame:
 
 
 def plan_sequences(counts: dict[int, int], capacity: int, groups: int = GROUPS, large: float = LARGE) -> list[tuple[int, int, int, int, int, int]]:
-    """Allocations (length, first rank, ranks, first sequence, ranks in a sequence, step)."""
-    plan = _Plan(capacity)
+    """Allocations (length, first rank, ranks, first sequence, ranks in a sequence, step).
+
+    Sequences of a configuration that actual documents leave with too much room
+    are given up before the best fit; of a few measures of too much, that which
+    needs the fewest sequences holds.
+    """
     lengths = sorted((n for n in counts if counts[n]), reverse=True)
     if lengths and (lengths[0] > capacity or lengths[-1] < 1):
         raise ValueError("lengths must be between 1 and the capacity")
     big = [n for n in lengths if large * capacity < n < capacity]
-    left = {n: (0, counts[n]) for n in lengths}
-    if capacity in left:
+    if not big:
+        return _fill(counts, capacity, lengths, [], None, [], capacity).rows
+    starts = np.concatenate([[0], np.cumsum([counts[n] for n in big])])
+    total = int(starts[-1])
+    each = -(-total // groups)
+    firsts = list(range(0, total, each))
+    sizes = np.array([big[int(np.searchsorted(starts, f, "right")) - 1] for f in firsts])
+    wanted = np.array([min(each, total - f) for f in firsts])
+    used = np.zeros(len(firsts), dtype=np.int64)
+    runs = []
+    for config, times in configurations(sizes, wanted, capacity, int(1 / large)):
+        times = int(min([times, *((wanted[g] - used[g]) // a for g, a in config)]))
+        if times < 1:
+            continue
+        places = []
+        for g, a in config:
+            for _ in range(a):
+                places.append(firsts[g] + int(used[g]))
+                used[g] += times
+        runs.append((times, places))
+    rest = [(f + int(u), f + int(w)) for f, u, w in zip(firsts, used, wanted, strict=True) if u < w]
+    plans = [_fill(counts, capacity, lengths, big, starts, runs, int(capacity * share), rest) for share in LOOSE]
+    return min(plans, key=lambda p: p.sequences).rows
+
+
+def _fill(counts, capacity: int, lengths, big, starts, runs, loose: int, rest=()) -> _Plan:
+    """The plan that keeps the configurations' sequences with up to ``loose`` room before the best fit."""
+    plan, later = _Plan(capacity), []
+    if counts.get(capacity):
         plan.place(capacity, 0, counts[capacity], plan.open(counts[capacity]), 1)
-        del left[capacity]
-    if big:
-        starts = np.concatenate([[0], np.cumsum([counts[n] for n in big])])
-        total = int(starts[-1])
-        each = -(-total // groups)
-        firsts = list(range(0, total, each))
-        sizes = np.array([big[int(np.searchsorted(starts, f, "right")) - 1] for f in firsts])
-        wanted = np.array([min(each, total - f) for f in firsts])
-        used = np.zeros(len(firsts), dtype=np.int64)
-        for config, times in configurations(sizes, wanted, capacity, int(1 / large)):
-            times = int(min([times, *((wanted[g] - used[g]) // a for g, a in config)]))
-            if times < 1:
+    for times, places in runs:
+        # Within a piece, the documents at each place have one length.
+        edges = {0, times}
+        for at in places:
+            first, last = np.searchsorted(starts, [at, at + times - 1], "right")
+            edges.update(int(x) - at for x in starts[first:last] if at < x < at + times)
+        points = sorted(edges)
+        for a, b in zip(points, points[1:], strict=False):
+            found = [int(np.searchsorted(starts, at + a, "right")) - 1 for at in places]
+            room = capacity - sum(big[k] for k in found)
+            if room > loose:
+                later += [(big[k], at + a - int(starts[k]), b - a) for k, at in zip(found, places, strict=True)]
                 continue
-            base = plan.open(times)
-            room = [(0, times, capacity)]
-            for g, a in config:
-                for _ in range(a):
-                    room = plan.substitute(big, starts, firsts[g] + int(used[g]), base, room)
-                    used[g] += times
-            for start, n, r in room:
-                plan.add_room(r, base + start, n)
-        for g, f in enumerate(firsts):
-            for n, rank, k in _runs(big, starts, f + int(used[g]), f + int(wanted[g])):
-                plan.later.append((n, rank, k))
-        for n in big:
-            left.pop(n)
-    for n, rank, k in sorted(plan.later, key=lambda x: -x[0]):
+            base = plan.open(b - a)
+            for k, at in zip(found, places, strict=True):
+                plan.place(big[k], at + a - int(starts[k]), b - a, base, 1)
+            plan.add_room(room, base, b - a)
+    for a, b in rest:
+        later += _runs(big, starts, a, b)
+    for n, rank, k in sorted(later, key=lambda x: -x[0]):
         plan.best_fit(n, rank, k)
-    for n in sorted(left, reverse=True):
-        plan.best_fit(n, *left[n])
-    return plan.rows
+    large = set(big)
+    for n in lengths:
+        if n < capacity and n not in large:
+            plan.best_fit(n, 0, counts[n])
+    return plan
 
 
 def _runs(lengths, starts, a: int, b: int):
@@ -143,7 +172,6 @@ class _Plan:
     def __init__(self, capacity: int):
         self.capacity, self.rows, self.sequences = capacity, [], 0
         self.rooms: list[list[tuple[int, int]]] = [[] for _ in range(capacity + 1)]
-        self.later: list[tuple[int, int, int]] = []
 
     def open(self, n: int) -> int:
         self.sequences += n
@@ -156,29 +184,6 @@ class _Plan:
         if n and room:
             self.rooms[room].append((base, n))
 
-    def substitute(self, lengths, starts, position: int, base: int, room):
-        """One document into each sequence of a run, from a position of the descending list on."""
-        total = room[-1][0] + room[-1][1]
-        runs, at = list(_runs(lengths, starts, position, position + total)), 0
-        edges = {x[0] for x in room} | {total}
-        for n, rank, k in runs:
-            self.place(n, rank, k, base + at, 1)
-            edges.add(at)
-            at += k
-        out, i, j = [], 0, 0
-        ends, at = [], 0
-        for _, _, k in runs:
-            at += k
-            ends.append(at)
-        points = sorted(edges)
-        for a, b in zip(points, points[1:], strict=False):
-            while room[i][0] + room[i][1] <= a:
-                i += 1
-            while ends[j] <= a:
-                j += 1
-            out.append((a, b - a, room[i][2] - runs[j][0]))
-        return out
-
     def best_fit(self, length: int, rank: int, n: int) -> None:
         room = length
         while n:
