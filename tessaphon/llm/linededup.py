@@ -8,7 +8,8 @@ its own length and the lengths up to the threshold below it, with the substrings
 that the multi-match-aware rule admits: 3 keys of its own and 9 others.
 
 Keys are first aggregated to (key, smallest line, largest line), which drops
-those of one line, however often it occurs; lines meet only on the rest.
+those of one line, however often it occurs; lines meet only on the rest.  Lines that
+share a frequent key meet on keys of what that key leaves of them instead.
 Candidates are verified by a banded bit-parallel automaton: one bit for each
 diagonal within the threshold, one word for each number of errors.
 
@@ -33,6 +34,8 @@ from pyspark.sql import functions as F
 from .common import cut, forget, join_checked
 
 THRESHOLD, LEAST_CHARS = 2, 20
+#: Rows of a key beyond which its lines meet on further keys; how often that is repeated.
+FREQUENT, LEVELS = 24, 7
 
 
 def _segment(length, i: int):
@@ -44,8 +47,8 @@ def _segment(length, i: int):
     return start, base + F.when(F.lit(i) > short, 1).otherwise(0)
 
 
-def _keys(line, length):
-    """The keys of a line: those of its own segments, then those that it probes with."""
+def _keys(length):
+    """(number, start, size) of a text's own segments, then of those that it probes with, by its length."""
     own, probes = [], []
     for delta in range(THRESHOLD + 1):
         of = length - delta
@@ -54,8 +57,7 @@ def _keys(line, length):
             low = max(-(i - 1), delta - (THRESHOLD + 1 - i))
             high = min(i - 1, delta + (THRESHOLD + 1 - i))
             for shift in range(low, high + 1):
-                key = F.xxhash64(of.cast("int"), F.lit(i), F.substring(line, start + shift, size))
-                (own if delta == 0 and shift == 0 else probes).append(key)
+                (own if delta == 0 and shift == 0 else probes).append((of.cast("int"), i, start + shift, size))
     return own, probes
 
 
@@ -66,10 +68,20 @@ def lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return split.select("doc", "th", "no", "line", F.char_length("line").alias("size"), F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"))
 
 
-def _posted(long_lines: DataFrame) -> DataFrame:
-    own, probes = _keys(F.col("line"), F.col("size"))
-    each = F.posexplode(F.array(*own, *probes)).alias("k", "key")
-    return long_lines.select("h1", each).select("key", "h1", (F.col("k") < len(own)).alias("indexed"))
+def _posted(rows: DataFrame, text, *kept, parent=None, rest: bool = False) -> DataFrame:
+    """kept, key, indexed (whether the key is of an own segment) and, if wanted, rest: the text without what the key stands for."""
+    own, probes = _keys(F.char_length(text))
+    more = [] if parent is None else [parent]
+    each = [F.xxhash64(*more, of, F.lit(i), F.substring(text, start, size)) for of, i, start, size in (*own, *probes)]
+    out = rows.select(*kept, *([text.alias("_text")] if rest else []), F.posexplode(F.array(*each)).alias("k", "key"))
+    indexed = (F.col("k") < len(own)).alias("indexed")
+    if not rest:
+        return out.select(*kept, "key", indexed)
+    own, probes = _keys(F.char_length("_text"))
+    left = F.lit(None).cast("string")
+    for k, (_, _, start, size) in enumerate((*own, *probes)):
+        left = F.when(F.col("k") == k, F.concat(F.substring("_text", F.lit(1), start - 1), F.substring("_text", start + size, F.char_length("_text")))).otherwise(left)
+    return out.select(*kept, "key", indexed, left.alias("rest"))
 
 
 def near(a, b):
@@ -105,23 +117,47 @@ def near(a, b):
 def near_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Pairs of different near lines, once each: h1, h2 of both (a1, a2, b1, b2)."""
     long_lines = lines(docs, id_col, text_col).filter(F.col("size") >= LEAST_CHARS)
-    met = _posted(long_lines).groupBy("key").agg(F.min("h1").alias("low"), F.max("h1").alias("high"), F.max("indexed").alias("indexed"))
+    met = _posted(long_lines, F.col("line"), "h1").groupBy("key").agg(F.min("h1").alias("low"), F.max("h1").alias("high"), F.max("indexed").alias("indexed"))
     met = cut(met.filter("low <> high and indexed").select("key"), "lines-keys")
-    posts = cut(join_checked(_posted(long_lines), met, "key").distinct(), "lines-posts")
-    index = posts.filter("indexed").select("key", F.col("h1").alias("x"))
-    pairs = index.join(posts.select("key", F.col("h1").alias("y")), "key").filter("x <> y")
-    pairs = cut(pairs.select(F.least("x", "y").alias("a1"), F.greatest("x", "y").alias("b1")).distinct(), "lines-pairs")
-    wanted = cut(pairs.select(F.col("a1").alias("h1")).union(pairs.select("b1")).distinct(), "lines-wanted")
-    texts = join_checked(long_lines.select("h1", "h2", "line"), wanted, "h1").dropDuplicates(["h1", "h2"])
+    texts = join_checked(_posted(long_lines, F.col("line"), "h1", "h2", "line"), met, "key").select("h1", "h2", "line").dropDuplicates(["h1", "h2"])
     texts = cut(texts, "lines-texts")
+    pairs = candidates(texts)
     a = texts.select(F.col("h1").alias("a1"), F.col("h2").alias("a2"), F.col("line").alias("a"))
     b = texts.select(F.col("h1").alias("b1"), F.col("h2").alias("b2"), F.col("line").alias("b"))
     both = pairs.join(a, "a1").join(b, "b1").filter(F.abs(F.char_length("a") - F.char_length("b")) <= THRESHOLD)
     found = cut(both.filter(near(F.col("a"), F.col("b"))).select("a1", "a2", "b1", "b2"), "lines-near")
-    forget(met, posts, pairs, wanted, texts)
+    forget(met, pairs, texts)
     return found
 
 
+def candidates(texts: DataFrame) -> DataFrame:
+    """h1, line to the pairs (a1, b1) that share a key; a cut table.
+
+    Lines of a frequent key meet on further keys, made in the same way from
+    what the key leaves of them: two near lines that agree on a segment are as
+    near without it.  So a pair of a frequent key agrees on more of its text.
+    """
+    level = texts.select("h1", F.lit(0).cast("long").alias("parent"), F.col("line").alias("text"))
+    found = []
+    for depth in range(LEVELS):
+        posts = cut(_posted(level, F.col("text"), "h1", parent=F.col("parent"), rest=True).distinct(), "lines-posts")
+        sizes = posts.groupBy("key").agg(F.min("h1").alias("low"), F.max("h1").alias("high"), F.max("indexed").alias("any"), F.count("*").alias("n"))
+        sizes = cut(sizes.filter("low <> high and any").select("key", "n"), "lines-sizes")
+        last = depth + 1 == LEVELS
+        few = posts.join(sizes if last else sizes.filter(F.col("n") <= FREQUENT), "key").select("key", "h1", "indexed").distinct()
+        index = few.filter("indexed").select("key", F.col("h1").alias("x"))
+        pairs = index.join(few.select("key", F.col("h1").alias("y")), "key").filter("x <> y")
+        found.append(cut(pairs.select(F.least("x", "y").alias("a1"), F.greatest("x", "y").alias("b1")).distinct(), "lines-pairs"))
+        many = sizes.filter(F.col("n") > FREQUENT).select("key")
+        if last or many.isEmpty():
+            break
+        level = cut(posts.join(many, "key").select("h1", F.col("key").alias("parent"), F.col("rest").alias("text")).distinct(), "lines-level")
+    out = found[0]
+    for part in found[1:]:
+        out = out.unionByName(part)
+    return cut(out.distinct(), "lines-pairs")
+
+
 def decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Texts that lose lines: doc, th, gone (for each line, whether it goes); a cut table."""
     pairs = near_pairs(docs, id_col, text_col)
