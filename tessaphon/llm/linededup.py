@@ -38,26 +38,34 @@ THRESHOLD, LEAST_CHARS = 2, 20
 FREQUENT, LEVELS = 24, 7
 
 
-def _segment(length, i: int):
-    """Start (from 1) and length of segment i (from 1) of a line of a length: even, the longer ones last."""
-    parts = THRESHOLD + 1
-    base, longer = F.floor(length / parts).cast("int"), F.pmod(length, F.lit(parts)).cast("int")
-    short = F.lit(parts) - longer
-    start = F.lit(1) + base * (i - 1) + F.greatest(F.lit(i - 1) - short, F.lit(0))
-    return start, base + F.when(F.lit(i) > short, 1).otherwise(0)
+PARTS = THRESHOLD + 1
 
 
-def _keys(length):
-    """(number, start, size) of a text's own segments, then of those that it probes with, by its length."""
+def _measured(rows: DataFrame, text: str) -> DataFrame:
+    """With what the keys are made of, once for each row: for each length, the size of a segment and how many are longer by one."""
+    sized = rows.withColumn("_n0", F.char_length(text))
+    for delta in range(1, PARTS):
+        sized = sized.withColumn(f"_n{delta}", F.col("_n0") - delta)
+    return sized.select("*", *(F.expr(f"CAST(_n{d} DIV {PARTS} AS INT)").alias(f"_b{d}") for d in range(PARTS)), *(F.expr(f"_n{d} % {PARTS}").alias(f"_m{d}") for d in range(PARTS)))
+
+
+def _segment(delta: int, i: int):
+    """Start (from 1) and size of segment i (from 1) of a text of a length: even, the longer ones last."""
+    base, short = F.col(f"_b{delta}"), F.lit(PARTS) - F.col(f"_m{delta}")
+    start = base * (i - 1) + 1
+    return (start if i == 1 else start + F.greatest(F.lit(i - 1) - short, F.lit(0))), base + F.when(short < i, 1).otherwise(0)
+
+
+def _keys():
+    """(length, number, start, size) of a measured text's own segments, then of those that it probes with."""
     own, probes = [], []
-    for delta in range(THRESHOLD + 1):
-        of = length - delta
-        for i in range(1, THRESHOLD + 2):
-            start, size = _segment(of, i)
-            low = max(-(i - 1), delta - (THRESHOLD + 1 - i))
-            high = min(i - 1, delta + (THRESHOLD + 1 - i))
+    for delta in range(PARTS):
+        for i in range(1, PARTS + 1):
+            start, size = _segment(delta, i)
+            low = max(-(i - 1), delta - (PARTS - i))
+            high = min(i - 1, delta + (PARTS - i))
             for shift in range(low, high + 1):
-                (own if delta == 0 and shift == 0 else probes).append((of.cast("int"), i, start + shift, size))
+                (own if delta == 0 and shift == 0 else probes).append((F.col(f"_n{delta}"), i, start + shift if shift else start, size))
     return own, probes
 
 
@@ -68,19 +76,20 @@ def lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return split.select("doc", "th", "no", "line", F.char_length("line").alias("size"), F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"))
 
 
-def _posted(rows: DataFrame, text, *kept, parent=None, rest: bool = False) -> DataFrame:
+def _posted(rows: DataFrame, text: str, *kept, parent: str | None = None, rest: bool = False) -> DataFrame:
     """kept, key, indexed (whether the key is of an own segment) and, if wanted, rest: the text without what the key stands for."""
-    own, probes = _keys(F.char_length(text))
-    more = [] if parent is None else [parent]
+    own, probes = _keys()
+    more = [] if parent is None else [F.col(parent)]
     each = [F.xxhash64(*more, of, F.lit(i), F.substring(text, start, size)) for of, i, start, size in (*own, *probes)]
-    out = rows.select(*kept, *([text.alias("_text")] if rest else []), F.posexplode(F.array(*each)).alias("k", "key"))
+    sizes = [f"_{x}{d}" for x in "nbm" for d in range(PARTS)] if rest else []
+    names = [text] if rest and text not in kept else []
+    out = _measured(rows, text).select(*kept, *names, *sizes, F.posexplode(F.array(*each)).alias("k", "key"))
     indexed = (F.col("k") < len(own)).alias("indexed")
     if not rest:
         return out.select(*kept, "key", indexed)
-    own, probes = _keys(F.char_length("_text"))
     left = F.lit(None).cast("string")
     for k, (_, _, start, size) in enumerate((*own, *probes)):
-        left = F.when(F.col("k") == k, F.concat(F.substring("_text", F.lit(1), start - 1), F.substring("_text", start + size, F.char_length("_text")))).otherwise(left)
+        left = F.when(F.col("k") == k, F.concat(F.substring(text, F.lit(1), start - 1), F.substring(text, start + size, F.col("_n0")))).otherwise(left)
     return out.select(*kept, "key", indexed, left.alias("rest"))
 
 
@@ -117,9 +126,9 @@ def near(a, b):
 def near_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Pairs of different near lines, once each: h1, h2 of both (a1, a2, b1, b2)."""
     long_lines = lines(docs, id_col, text_col).filter(F.col("size") >= LEAST_CHARS)
-    met = _posted(long_lines, F.col("line"), "h1").groupBy("key").agg(F.min("h1").alias("low"), F.max("h1").alias("high"), F.max("indexed").alias("indexed"))
+    met = _posted(long_lines, "line", "h1").groupBy("key").agg(F.min("h1").alias("low"), F.max("h1").alias("high"), F.max("indexed").alias("indexed"))
     met = cut(met.filter("low <> high and indexed").select("key"), "lines-keys")
-    texts = join_checked(_posted(long_lines, F.col("line"), "h1", "h2", "line"), met, "key").select("h1", "h2", "line").dropDuplicates(["h1", "h2"])
+    texts = join_checked(_posted(long_lines, "line", "h1", "h2", "line"), met, "key").select("h1", "h2", "line").dropDuplicates(["h1", "h2"])
     texts = cut(texts, "lines-texts")
     pairs = candidates(texts)
     a = texts.select(F.col("h1").alias("a1"), F.col("h2").alias("a2"), F.col("line").alias("a"))
@@ -140,7 +149,7 @@ def candidates(texts: DataFrame) -> DataFrame:
     level = texts.select("h1", F.lit(0).cast("long").alias("parent"), F.col("line").alias("text"))
     found = []
     for depth in range(LEVELS):
-        posts = cut(_posted(level, F.col("text"), "h1", parent=F.col("parent"), rest=True).distinct(), "lines-posts")
+        posts = cut(_posted(level, "text", "h1", parent="parent", rest=True).distinct(), "lines-posts")
         sizes = posts.groupBy("key").agg(F.min("h1").alias("low"), F.max("h1").alias("high"), F.max("indexed").alias("any"), F.count("*").alias("n"))
         sizes = cut(sizes.filter("low <> high and any").select("key", "n"), "lines-sizes")
         last = depth + 1 == LEVELS
