@@ -12,8 +12,10 @@ Search.  All queries walk the graph at once.  A query's state is a bounded list
 of the best nodes so far; in each round, the best of those not yet expanded are
 joined with their neighbours, these are scored in the blocks of the vector
 table (queries are sent only to blocks that hold a node they ask for), and the
-state keeps the best.  A query starts at its own node, and at the longest nodes
-if it is shorter.  A query that the graph leaves with too few nodes is
+state keeps the best.  The walk ends when no query has a node left that isn't
+expanded.  The list, the nodes expanded in a round and the starts grow with the
+square root of the table, so that the rounds stay few.  A query starts at its
+own node, and at the longest nodes if it is shorter.  A query that the graph leaves with too few nodes is
 compared with all vectors, block by block.
 
 Every row is indexed; hot vectors are one node; a node's in-edges are cut to
@@ -36,10 +38,12 @@ from pyspark.sql import functions as F
 from .common import cut, forget
 
 #: Neighbours kept; trees and window of the first graph; rounds; neighbours compared at a node;
-#: best of them that one node is told; search list, expansions in a round, rounds; nodes in a block.
-DEGREE, TREES, WINDOW, DESCENTS, MET, TOLD, LIST, EXPAND, WALKS, BLOCK = 48, 6, 1024, 2, 40, 16, 160, 40, 6, 4096
+#: best of them that one node is told; search list, expansions in a round; nodes in a block.
+DEGREE, TREES, WINDOW, DESCENTS, MET, TOLD, LIST, EXPAND, BLOCK = 48, 6, 1024, 2, 40, 16, 160, 40, 4096
 #: Longest nodes from which a query starts, besides its own, if it is shorter than they are.
 LONGEST = 96
+#: Nodes up to which LIST, EXPAND and LONGEST hold as they are.
+SMALL = 10_000
 
 
 def _i8(x) -> bytes:
@@ -219,6 +223,12 @@ def _descend(graph: DataFrame, nodes: DataFrame) -> DataFrame:
     return met.mapInArrow(meet, "node long, ids binary, scores binary")
 
 
+def budget(n: int) -> tuple[int, int, int]:
+    """Search list, expansions in a round and longest nodes to start from, for n nodes."""
+    grown = max(1.0, n / SMALL) ** 0.5
+    return tuple(int(np.ceil(x * grown)) for x in (LIST, EXPAND, LONGEST))
+
+
 def walk(queries: DataFrame, nodes: DataFrame, graph: DataFrame) -> DataFrame:
     """queries: q, vec, entry (a node).  q, ids, scores: the best nodes found; a cut table."""
 
@@ -231,7 +241,7 @@ def walk(queries: DataFrame, nodes: DataFrame, graph: DataFrame) -> DataFrame:
         for batch in batches:
             q, node = [], []
             for one, ids, done in zip(batch[0].to_pylist(), batch[1].to_pylist(), batch[2].to_pylist(), strict=True):
-                open_ = np.frombuffer(ids, "<i8")[np.frombuffer(done, np.uint8) == 0][:EXPAND]
+                open_ = np.frombuffer(ids, "<i8")[np.frombuffer(done, np.uint8) == 0][:expand]
                 q += [one] * len(open_)
                 node.append(open_)
             yield pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(np.concatenate(node) if node else [], pa.int64())], ["q", "node"])
@@ -277,17 +287,17 @@ def walk(queries: DataFrame, nodes: DataFrame, graph: DataFrame) -> DataFrame:
                 out[2].append(_f8(x[at] @ np.frombuffer(vec)))
             yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.binary()), pa.array(out[2], pa.binary())], ["q", "ids", "scores"])
 
-    def update(batches):
+    def update(batches, opened):
         for batch in batches:
             out = [[], [], []]
             for ids, scores, done, more in zip(*(batch[k].to_pylist() for k in range(2, 6)), strict=True):
                 old, done = np.frombuffer(ids, "<i8"), np.frombuffer(done, np.uint8).copy()
-                done[np.flatnonzero(done == 0)[:EXPAND]] = 1
+                done[np.flatnonzero(done == 0)[:opened]] = 1
                 known = dict(zip(old.tolist(), done.tolist(), strict=True))
                 lists = more or []
                 all_ids = np.concatenate([old, *(np.frombuffer(m["ids"], "<i8") for m in lists)])
                 all_scores = np.concatenate([np.frombuffer(scores), *(np.frombuffer(m["scores"]) for m in lists)])
-                new, found = _best(all_ids, all_scores, LIST)
+                new, found = _best(all_ids, all_scores, keep)
                 out[0].append(_i8(new))
                 out[1].append(_f8(found))
                 out[2].append(bytes(known.get(i, 0) for i in new.tolist()))
@@ -298,21 +308,30 @@ def walk(queries: DataFrame, nodes: DataFrame, graph: DataFrame) -> DataFrame:
     asked = "block long, q long, vec binary, ids binary"
     parts, n = int(spark.conf.get("spark.sql.shuffle.partitions")), nodes.count()
     blocks = max(1, -(-n // BLOCK))
+    keep, expand, starts = budget(n)
     adjacent = graph.select("node", "ids")
     # Nodes that are longer than a query can have a larger product with it than any near its own place.
-    measured = nodes.select("node", "vec").mapInArrow(_itself, "q long, self double").orderBy(F.desc("self"), "q").limit(LONGEST).collect()
+    measured = nodes.select("node", "vec").mapInArrow(_itself, "q long, self double").orderBy(F.desc("self"), "q").limit(starts).collect()
     longest, least = [r["q"] for r in measured], 0.98 * measured[-1]["self"] if measured else 0.0
     state = cut(queries.select("q", "vec", "entry").mapInArrow(start, kinds), "ann-state")
-    for _ in range(WALKS):
+    def scored(state, lists, opened):
+        rows = lists.mapInArrow(spread, asked).unionByName(nodes.select("node", "vec").mapInArrow(place, asked))
+        rows = rows.repartition(parts, "block").sortWithinPartitions("block", F.col("q").asc_nulls_first())
+        found = rows.mapInArrow(score, "q long, ids binary, scores binary").groupBy("q").agg(F.collect_list(F.struct("ids", "scores")).alias("more"))
+        return cut(state.join(found, "q", "left").mapInArrow(lambda batches: update(batches, opened), kinds), "ann-state")
+
+    # The starts get their scores first: without them, a round would expand the smallest ids and the list lose the others.
+    longer = scored(state, state.select("q", "vec", F.array("ids").alias("lists")), 0)
+    forget(state)
+    state = longer
+    # Ends by itself: a round expands an open node of each query that has one, and what left a full list can't come back.
+    while True:
         ends = cut(state.select("q", "ids", "done").mapInArrow(frontier, "q long, node long"), "ann-frontier")
         if ends.isEmpty():
+            forget(ends)
             break
         lists = ends.join(adjacent, "node").select("q", "ids").groupBy("q").agg(F.collect_list("ids").alias("lists"))
-        lists = lists.join(state.select("q", "vec"), "q").select("q", "vec", "lists")
-        rows = lists.mapInArrow(spread, asked).unionByName(nodes.select("node", "vec").mapInArrow(place, asked))
-        rows = rows.repartition(parts, "block").sortWithinPartitions("block", F.col("q").asc_nulls_first())
-        scored = rows.mapInArrow(score, "q long, ids binary, scores binary").groupBy("q").agg(F.collect_list(F.struct("ids", "scores")).alias("more"))
-        longer = cut(state.join(scored, "q", "left").mapInArrow(update, kinds), "ann-state")
+        longer = scored(state, lists.join(state.select("q", "vec"), "q").select("q", "vec", "lists"), expand)
         forget(state, ends)
         state = longer
 
