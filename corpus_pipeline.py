@@ -24,8 +24,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that are near an earlier line; n_chars follows the text."""
-    out = linededup.dedup(docs)
+    """Documents without the lines that are near an earlier line, or short and equal to one; n_chars follows the text."""
+    out = linededup.dedup(docs, short=True)
     return out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.char_length("text").cast("long")))
 
 

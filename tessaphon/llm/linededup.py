@@ -15,7 +15,9 @@ diagonal within the threshold, one word for each number of errors.
 
 A line goes if it is near, or equal, to a line that occurs first (by document
 id and line number) at an earlier place.  Lines shorter than 20 code points
-stay and have no part in this.  All of it is DataFrame functions.
+have no part in the edit join.  With ``short``, those of them that aren't blank
+go if they equal an earlier line; without it, they stay.  All of it is
+DataFrame functions.
 
 Defined cases: a null or empty text stays as it is; a document with a null id
 has no part in this and stays; rows of one id and text are one document; the
@@ -36,6 +38,8 @@ from .common import cut, forget, join_checked
 THRESHOLD, LEAST_CHARS = 2, 20
 #: Rows of a key beyond which its lines meet on further keys; how often that is repeated.
 FREQUENT, LEVELS = 24, 7
+#: What a line has that isn't blank.
+_SEEN = "[^\\s\\p{Z}]"
 
 
 PARTS = THRESHOLD + 1
@@ -167,12 +171,15 @@ def candidates(texts: DataFrame) -> DataFrame:
     return cut(out.distinct(), "lines-pairs")
 
 
-def decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", short: bool = False) -> DataFrame:
     """Texts that lose lines: doc, th, gone (for each line, whether it goes); a cut table."""
     pairs = near_pairs(docs, id_col, text_col)
-    every = lines(docs, id_col, text_col)
+    part = F.col("size") >= LEAST_CHARS
+    if short:
+        part = part | F.col("line").rlike(_SEEN)
+    every = lines(docs, id_col, text_col).withColumn("part", part)
     place = (F.col("doc").cast("decimal(20,0)") * F.lit(1 << 31).cast("decimal(12,0)") + F.col("no")).cast("decimal(38,0)")
-    firsts = cut(every.filter(F.col("size") >= LEAST_CHARS).groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n")), "lines-firsts")
+    firsts = cut(every.filter("part").groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n")), "lines-firsts")
     a = firsts.select(F.col("h1").alias("a1"), F.col("h2").alias("a2"), F.col("first").alias("fa"))
     b = firsts.select(F.col("h1").alias("b1"), F.col("h2").alias("b2"), F.col("first").alias("fb"))
     placed = pairs.join(a, ["a1", "a2"]).join(b, ["b1", "b2"])
@@ -180,8 +187,8 @@ def decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     late = placed.select(later.alias("l")).select("l.*").distinct().withColumn("late", F.lit(True))
     # Lines that occur once and are near no earlier one needn't be looked at again.
     marked = cut(firsts.join(late, ["h1", "h2"], "left").filter("n > 1 or late").select("h1", "h2", "first", F.coalesce("late", F.lit(False)).alias("late")), "lines-marked")
-    told = join_checked(every.select("doc", "th", "no", "h1", "h2", "size"), marked, ["h1", "h2"], "left")
-    goes = (F.col("size") >= LEAST_CHARS) & F.col("first").isNotNull() & (F.col("late") | (place != F.col("first")))
+    told = join_checked(every.select("doc", "th", "no", "h1", "h2", "part"), marked, ["h1", "h2"], "left")
+    goes = F.col("part") & F.col("first").isNotNull() & (F.col("late") | (place != F.col("first")))
     told = told.select("doc", "th", "no", F.coalesce(goes, F.lit(False)).alias("goes"))
     by_text = told.groupBy("doc", "th").agg(F.max("goes").alias("any"), F.sort_array(F.collect_set(F.struct("no", "goes"))).alias("gone"))
     out = cut(by_text.filter("any").select("doc", "th", F.col("gone.goes").alias("gone")), "lines-gone")
@@ -189,10 +196,10 @@ def decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     return out
 
 
-def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with their own columns and without the later ones of near-equal lines."""
+def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", short: bool = False) -> DataFrame:
+    """docs with their own columns and without the later ones of near-equal lines; with ``short``, of equal short lines too."""
     name = "gone_" + uuid.uuid4().hex
-    gone = decisions(docs, id_col, text_col)
+    gone = decisions(docs, id_col, text_col, short)
     text = F.col(text_col).cast("string")
     joined = join_checked(docs, gone, (docs[id_col] == gone["doc"]) & (F.xxhash64(docs[text_col].cast("string")) == gone["th"]), "left")
     joined = joined.select(*[docs[c] for c in docs.columns], gone["gone"].alias(name))

@@ -58,7 +58,7 @@ def op8_jaccard(spark, sf_dir):
 
 
 def op9_linededup(spark, sf_dir):
-    found = linededup.dedup(_read(spark, sf_dir, "documents"))
+    found = linededup.dedup(_read(spark, sf_dir, "documents"), short=True)
     return found.select("doc_id", F.size(F.split("text", "\n")).cast("long").alias("n_lines"), F.char_length("text").cast("long").alias("n_chars"), F.sha2("text", 256).alias("text_sha256"))
 
 

@@ -1,3 +1,4 @@
+import corpus_pipeline
 import numpy as np
 from tessaphon.llm import ann
 
@@ -16,3 +17,11 @@ def test_walk_goes_on_until_no_node_is_open(spark):
 def test_search_grows_with_the_table():
     small, large = ann.budget(500), ann.budget(40 * ann.SMALL)
     assert small == (ann.LIST, ann.EXPAND, ann.LONGEST) and all(b > 6 * a for a, b in zip(small, large, strict=True))
+
+
+def test_short_equal_lines_go(spark):
+    long = "a line that is longer than the limit"
+    rows = [(1, "By To.\nLes.\n\nBy To.\n \n" + long), (2, "Les.\n\n梦の国。\nLes!\n \n梦の国。"), (3, long + "\nNew."), (None, "Les."), (4, None)]
+    docs = spark.createDataFrame([(k, t, "en", "s", 0) for k, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {x.doc_id: x.text for x in corpus_pipeline.line_dedup(spark, docs, "").collect()}
+    assert got == {1: "By To.\nLes.\n\n \n" + long, 2: "\n梦の国。\nLes!\n ", 3: "New.", None: "Les.", 4: None}
