@@ -2,7 +2,10 @@
 
 A text is cut into sentences, each sentence is normalised and mapped to the
 identifier of a known licence sentence, and the sequence of identifiers is
-matched against ordered rules.  Longer rules go first and use up the
+matched against ordered rules.  What is no known sentence by itself is joined
+again, and known sentences are looked for in it as runs of words, so that line
+ends, comment markers and punctuation inside a sentence don't matter; those of
+WHOLE count only as a sentence of their own.  Longer rules go first and use up the
 identifiers they match; identifiers that no rule uses are counted.
 
 Everything happens inside the row with SQL functions: no shuffle, no Python.
@@ -14,6 +17,8 @@ columns of the input are ignored, whatever they are called.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -91,6 +96,9 @@ RULES = (
     ("Proprietary", ("ALL_RIGHTS",)),
 )
 
+#: Short sentences that would say too little inside a longer one.
+WHOLE = ("MIT_TITLE", "MIT_TITLE_2", "ALL_RIGHTS")
+
 #: What ends a sentence: a line end, or . ! or ? before white space.
 _END, _OTHER = "([.!?])[ \\t\\r\\n]+", "[^\\p{L}\\p{N}.+-]+"
 
@@ -106,6 +114,24 @@ def sentences(text):
     return F.filter(F.transform(cut, normal), lambda s: s != "")
 
 
+def words(sentence: str) -> str:
+    """A table sentence as it stands in a joined text: no stop at the end of a word, no words without letters or digits."""
+    return re.sub(r" [.+-]+(?= )", "", re.sub(r"\.+(?= |$)", "", f" {sentence} ")).strip()
+
+
+def _found(s, table: dict):
+    """Normalised sentences (column) to the identifiers of the known ones, in order."""
+    known = F.create_map(*[F.lit(x) for name, sentence in table.items() for x in (sentence, name)])
+    inside = {words(sentence): name for name, sentence in table.items() if name not in WHOLE}
+    by_words = F.create_map(*[F.lit(x) for pair in inside.items() for x in pair])
+    runs = "|".join(re.escape(x) for x in sorted(inside, key=lambda x: (-len(x), x)))
+    # Known sentences stand between < and >, which no normalised sentence holds.
+    joined = F.concat(F.lit(" "), F.array_join(F.transform(s, lambda x: F.coalesce(F.concat(F.lit("<"), F.try_element_at(known, x), F.lit(">")), x)), " "), F.lit(" "))
+    joined = F.regexp_replace(F.regexp_replace(joined, "\\.+(?= )", ""), " [.+-]+(?= )", "")
+    each = F.regexp_extract_all(joined, F.lit(f"(?<= )(?:<[^>]+>|(?:{runs})(?= ))"), F.lit(0))
+    return F.transform(each, lambda x: F.when(x.startswith("<"), F.substring(x, F.lit(2), F.length(x) - 2)).otherwise(F.try_element_at(by_words, x)))
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", table=None, rules=RULES) -> DataFrame:
     """One row for each row of docs: id, n_sentences, sentence_ids, licenses, n_unused.
 
@@ -113,9 +139,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", table=
     of the rules, each once; both joined by commas.
     """
     table = SENTENCES if table is None else table
-    known = F.create_map(*[F.lit(x) for name, sentence in table.items() for x in (sentence, name)])
     found = docs.select(F.col(id_col).alias("id"), sentences(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("s"))
-    found = found.select("id", F.size("s").cast("long").alias("n"), F.filter(F.transform("s", lambda s: F.try_element_at(known, s)), lambda x: x.isNotNull()).alias("ids"))
+    found = found.select("id", F.size("s").cast("long").alias("n"), _found(F.col("s"), table).alias("ids"))
     # Each identifier between its own commas, so that a used run can be taken out without joining its neighbours.
     found = found.withColumn("rest0", F.concat_ws("", F.transform("ids", lambda x: F.concat(F.lit("<"), x, F.lit(">")))))
     hits, ordered = [], sorted(rules, key=lambda r: -len(r[1]))
@@ -135,7 +160,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", table=
 
 
 def oracle(table="documents") -> str:
-    """The same in DuckDB."""
+    """The same in DuckDB for texts whose known sentences stand one to a line or stop."""
     quote = lambda s: "'" + s.replace("'", "''") + "'"
     known = ", ".join(f"({quote(s)}, {quote(n)})" for n, s in SENTENCES.items())
     ordered = sorted(RULES, key=lambda r: -len(r[1]))

@@ -1,6 +1,8 @@
+import textwrap
+
 import corpus_pipeline
 import numpy as np
-from tessaphon.llm import ann
+from tessaphon.llm import ann, licenses
 
 
 def test_walk_goes_on_until_no_node_is_open(spark):
@@ -25,3 +27,30 @@ def test_short_equal_lines_go(spark):
     docs = spark.createDataFrame([(k, t, "en", "s", 0) for k, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
     got = {x.doc_id: x.text for x in corpus_pipeline.line_dedup(spark, docs, "").collect()}
     assert got == {1: "By To.\nLes.\n\n \n" + long, 2: "\n梦の国。\nLes!\n ", 3: "New.", None: "Les.", 4: None}
+
+
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at
+
+http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."""
+MIT = """MIT License
+
+Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."""
+GPL = """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."""
+
+
+def found_licenses(spark, texts):
+    return [x.licenses for x in licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)).orderBy("doc_id").collect()]
+
+
+def test_licenses_wrapped_and_unwrapped(spark):
+    texts, want = [], []
+    for text, name in ((APACHE, "Apache-2.0"), (MIT, "MIT"), (GPL, "GPL-3.0-or-later")):
+        wrapped = "\n\n".join(textwrap.fill(p, 70) for p in text.split("\n\n"))
+        texts += [text, wrapped, wrapped.replace("\n", "\r\n"), *(textwrap.indent(wrapped, mark, lambda _: True) for mark in (" * ", "// ", "# ", "-- "))]
+        want += [name] * 7
+    texts += ["This project is licensed under the MIT License.", "The mit license is short.", "Nothing here."]
+    assert found_licenses(spark, texts) == [*want, "MIT", "", ""]
