@@ -96,6 +96,55 @@ RULES = (
     ("Proprietary", ("ALL_RIGHTS",)),
 )
 
+# More notices; the tables above are those of the SQL.  A name in its usual forms gives (identifier, rule).
+_NAMED = {
+    "Apache-2.0": ("apache license 2.0", "apache 2.0 license", "apache-2.0 license", "apache license v2.0"),
+    "BSD": ("bsd license",),
+    "BSD-2-Clause": ("bsd 2-clause license", "bsd-2-clause license", "2-clause bsd license", "simplified bsd license", "bsd 2-clause simplified license"),
+    "BSD-3-Clause": ("bsd 3-clause license", "bsd-3-clause license", "3-clause bsd license", "new bsd license", "modified bsd license", "bsd 3-clause new or revised license"),
+    "ISC": ("isc license",),
+    "MPL-2.0": ("mozilla public license version 2.0", "mozilla public license v2.0", "mozilla public license 2.0", "mpl 2.0", "mpl-2.0"),
+    "Unlicense": ("unlicense",),
+    "CC0-1.0": ("cc0 1.0", "cc0 1.0 universal"),
+}
+for _short, _long, _versions in (("gpl", "gnu general public license", ("2", "3")), ("lgpl", "gnu lesser general public license", ("2.1", "3")), ("agpl", "gnu affero general public license", ("3",))):
+    for _v in _versions:
+        _name = f"{_short.upper()}-{_v if '.' in _v else _v + '.0'}"
+        _forms = [f"{stem} {x}" for stem in (_long, _long[4:], f"gnu {_short}", _short) for n in {_v, _v if "." in _v else _v + ".0"} for x in (f"version {n}", f"v{n}", n)]
+        _forms += [f"{_short}v{_v}", f"gnu {_short}v{_v}"]
+        _NAMED[f"{_name}-only"] = (*_forms, *(f"{x} only" for x in _forms))
+        _NAMED[f"{_name}-or-later"] = (*(f"{x} {y}" for x in _forms for y in ("or later", "or any later version", "or at your option any later version")), f"{_short}v{_v}+", f"gnu {_short}v{_v}+")
+
+_REDIST = "this {} is free software you can redistribute it and or modify it under the terms of the gnu {} general public license as published by the free software foundation either version {} of the license or at your option any later version"
+_HOPE = "this {} is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose"
+MORE_SENTENCES = {
+    "LGPL21_REDIST": (_REDIST.format("library", "lesser", "2.1"), _REDIST.format("program", "lesser", "2.1")),
+    "LGPL3_REDIST": (_REDIST.format("library", "lesser", "3"), _REDIST.format("program", "lesser", "3")),
+    "AGPL3_REDIST": (_REDIST.format("program", "affero", "3"),),
+    "LGPL_HOPE": (_HOPE.format("library"),),
+    "AGPL_SEE": ("see the gnu affero general public license for more details",),
+    "APACHE_URL": ("https www.apache.org licenses license-2.0",),
+}
+MORE_RULES = []
+for _name, _id, _hopes, _see in (("LGPL-2.1-or-later", "LGPL21_REDIST", ("LGPL_HOPE", "GPL_HOPE"), "LGPL_SEE"), ("LGPL-3.0-or-later", "LGPL3_REDIST", ("LGPL_HOPE", "GPL_HOPE"), "LGPL_SEE"), ("AGPL-3.0-or-later", "AGPL3_REDIST", ("GPL_HOPE",), "AGPL_SEE")):
+    MORE_RULES += [*((_name, (_id, x, _see)) for x in _hopes), (_name, (_id,))]
+for _name in dict.fromkeys((*_NAMED, *(name for name, _ in RULES), *(name for name, _ in MORE_RULES))):
+    if _name not in ("Proprietary", "BSD"):
+        MORE_SENTENCES[f"SPDX {_name}"] = (f"spdx-license-identifier {_name.lower()}",)
+        MORE_RULES.append((_name, (f"SPDX {_name}",)))
+    if _name in _NAMED:
+        _lead = [f"{verb} under {the}" for verb in ("licensed", "released", "distributed") for the in ("the ", "")]
+        _own = [lead + x for lead in _lead for x in _NAMED[_name]]
+        MORE_SENTENCES[f"NAME {_name}"] = tuple(dict.fromkeys(x for x in _own if x not in SENTENCES.values()))
+        MORE_RULES.append((_name, (f"NAME {_name}",)))
+MORE_RULES = tuple(MORE_RULES)
+
+
+def everything() -> list:
+    """(sentence, identifier) of both tables."""
+    return [(x, name) for name, x in SENTENCES.items()] + [(x, name) for name, forms in MORE_SENTENCES.items() for x in forms]
+
+
 #: Short sentences that would say too little inside a longer one.
 WHOLE = ("MIT_TITLE", "MIT_TITLE_2", "ALL_RIGHTS")
 
@@ -119,26 +168,43 @@ def words(sentence: str) -> str:
     return re.sub(r" [.+-]+(?= )", "", re.sub(r"\.+(?= |$)", "", f" {sentence} ")).strip()
 
 
-def _found(s, table: dict):
+def _runs(sentences) -> str:
+    """A pattern of runs of words, the longest that fits first; common beginnings are tried once."""
+    root: dict = {}
+    for sentence in sorted(sentences):
+        at = root
+        for word in sentence.split(" "):
+            at = at.setdefault(word, {})
+        at[""] = {}
+
+    def pattern(node, before):
+        ways = [before + re.escape(word) + pattern(below, " ") for word, below in node.items() if word]
+        ways += ["(?= )"] if "" in node else []
+        return ways[0] if len(ways) == 1 else f"(?:{'|'.join(ways)})"
+
+    return pattern(root, "")
+
+
+def _found(s, table: list):
     """Normalised sentences (column) to the identifiers of the known ones, in order."""
-    known = F.create_map(*[F.lit(x) for name, sentence in table.items() for x in (sentence, name)])
-    inside = {words(sentence): name for name, sentence in table.items() if name not in WHOLE}
+    known = F.create_map(*[F.lit(x) for pair in table for x in pair])
+    inside = {words(sentence): name for sentence, name in table if name not in WHOLE}
     by_words = F.create_map(*[F.lit(x) for pair in inside.items() for x in pair])
-    runs = "|".join(re.escape(x) for x in sorted(inside, key=lambda x: (-len(x), x)))
     # Known sentences stand between < and >, which no normalised sentence holds.
     joined = F.concat(F.lit(" "), F.array_join(F.transform(s, lambda x: F.coalesce(F.concat(F.lit("<"), F.try_element_at(known, x), F.lit(">")), x)), " "), F.lit(" "))
     joined = F.regexp_replace(F.regexp_replace(joined, "\\.+(?= )", ""), " [.+-]+(?= )", "")
-    each = F.regexp_extract_all(joined, F.lit(f"(?<= )(?:<[^>]+>|(?:{runs})(?= ))"), F.lit(0))
+    each = F.regexp_extract_all(joined, F.lit(f"(?<= )(?:<[^>]+>|{_runs(inside)})"), F.lit(0))
     return F.transform(each, lambda x: F.when(x.startswith("<"), F.substring(x, F.lit(2), F.length(x) - 2)).otherwise(F.try_element_at(by_words, x)))
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", table=None, rules=RULES) -> DataFrame:
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", table=None, rules=None) -> DataFrame:
     """One row for each row of docs: id, n_sentences, sentence_ids, licenses, n_unused.
 
     sentence_ids: recognised identifiers in order; licenses: names in the order
     of the rules, each once; both joined by commas.
     """
-    table = SENTENCES if table is None else table
+    table = everything() if table is None else [(sentence, name) for name, sentence in table.items()]
+    rules = (*RULES, *MORE_RULES) if rules is None else rules
     found = docs.select(F.col(id_col).alias("id"), sentences(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("s"))
     found = found.select("id", F.size("s").cast("long").alias("n"), _found(F.col("s"), table).alias("ids"))
     # Each identifier between its own commas, so that a used run can be taken out without joining its neighbours.

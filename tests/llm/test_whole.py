@@ -54,3 +54,19 @@ def test_licenses_wrapped_and_unwrapped(spark):
         want += [name] * 7
     texts += ["This project is licensed under the MIT License.", "The mit license is short.", "Nothing here."]
     assert found_licenses(spark, texts) == [*want, "MIT", "", ""]
+
+
+def test_every_licence_rule_fires_and_every_identifier_is_used(spark):
+    rules, table = (*licenses.RULES, *licenses.MORE_RULES), licenses.everything()
+    assert {name for _, name in table} == {x for _, wanted in rules for x in wanted}
+    forms = {name: sentence for sentence, name in table}
+    texts = [". ".join(forms[x] for x in wanted) + "." for _, wanted in rules]
+    assert found_licenses(spark, texts) == [name for name, _ in rules]
+    assert len({x for x, _ in table}) == len(table)
+    ids = [x.sentence_ids for x in licenses.scan(spark.createDataFrame([(k, f"Foo {x} bar. Foo") for k, (x, _) in enumerate(table)], "doc_id long, text string").coalesce(1)).orderBy("doc_id").collect()]
+    assert ids == ["" if name in licenses.WHOLE else name for _, name in table]
+
+
+def test_licence_names(spark):
+    texts = ["SPDX-License-Identifier: GPL-2.0-or-later", "Licensed under the GNU AGPL v3.0.", "Released under the GNU Lesser General Public License, version 2.1 or later.", "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0.", "licensed under the BSD license"]
+    assert found_licenses(spark, texts) == ["GPL-2.0-or-later", "AGPL-3.0-only", "LGPL-2.1-or-later", "MPL-2.0", "BSD"]
