@@ -1,46 +1,49 @@
 """Quality classifier: perplexity under an interpolated modified Kneser-Ney model.
 
 The model is one of characters within words: orders 1 to 5, each word with its
-start and its end.  It is trained for each language on all trusted documents
-but a tenth, which is held out.  A document's statistic is its mean negative
-log probability for a character, drawn towards its language's mean by a fixed
-number of characters, so that a few words aren't judged by chance; it is
-rejected above a high quantile of that statistic on its language's held-out
-documents.
-
-Counts come from pre-aggregated partial counts; continuation counts, discounts,
-back-off weights and probabilities from joins of the count tables on the
-history.  The model is sharded by language and by the last character of the
-history, so that all orders of a prediction lie in one shard, and each shard is
-joined in turn with the documents' n-grams in their tasks, adding its part to
-the document's sum.  A shard has a bounded number of entries; the number of
-shards grows with the model, and no text is shuffled.
+start and its end.  It is trained for each language on all trusted documents.
+Documents are dealt into two folds by their text (copies fall together), and
+each is scored by the model of the other fold, so no text is judged by a model
+that has seen it, and every trusted document counts for the threshold.  A
+document's statistic is its mean negative log probability for a character,
+drawn towards its language's mean by a fixed number of characters, so that a few
+words aren't judged by chance; it is rejected outside two outer quantiles of that
+statistic on its language's trusted documents: text that is stranger than
+theirs, and text that is likelier, as one word over and over often is.
+
+A word's probability doesn't depend on its neighbours.  So texts are first
+reduced to the counts of their words (long ones in pieces that know the four
+characters before them), which grow with the corpus, and pre-aggregated.  Counts of
+n-grams come from the words of trusted documents; continuation counts,
+discounts, back-off weights and probabilities from joins of the count tables on
+the history.  For scoring, the distinct n-grams of the distinct words are joined with the
+model, order by order, on (language, n-gram), and summed by word.  The most
+frequent words, of a bounded number, are broadcast and summed where a document is read;
+the others, none of which can be a hot key any more, are joined with the documents' word
+counts and summed by document.  All tables of a join have one row for a key on
+one side at least, are sharded by hash, and never pass through the driver.
 
 Defined cases: a null or empty text has no words, no perplexity and is kept; a
-null language is a language of its own; a document in a language without
-trusted (or without held-out) text has no threshold and is kept; repeated rows
+null language is a language of its own; a document in a language of which the other
+fold has no trusted text, or that has none to set a threshold, is kept; repeated rows
 are judged alike; of contradicting labels the worst counts; empty tables give
 empty results; the columns of docs stay as they are, whatever they are called.
 """
 
 from __future__ import annotations
 
-import math
 import uuid
-from collections import defaultdict
+from collections import Counter, defaultdict
 
-import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, forget, join_checked
-from .wfst import Memo
 
-ORDER, QUANTILE, HELD_OUT, PRIOR_CHARS = 5, 0.995, 10, 200
-#: Entries of a shard; partial counts, words and n-grams remembered in a worker.
-SHARD_ENTRIES, PARTIAL, REMEMBERED = 2_000_000, 400_000, 250_000
+ORDER, QUANTILE, FOLDS, PRIOR_CHARS = 5, 0.995, 2, 200
+#: Entries of a shard of the model; partial counts in a worker; words that are broadcast; characters of a long word's pieces.
+SHARD_ENTRIES, PARTIAL, HELD_WORDS, PIECE = 2_000_000, 400_000, 100_000, 24
 START, END = "\x02", "\x03"
 
 
@@ -51,10 +54,35 @@ def _grams(word: str) -> list[str]:
 
 def _words(text: str) -> list[str]:
     if START in text or END in text:
-        text = text.replace(START, "�").replace(END, "�")
+        text = text.replace(START, "\ufffd").replace(END, "\ufffd")
     return text.split()
 
 
+def _units(word: str) -> list[str]:
+    """A word with its start and end; a long one in pieces, each after the characters that its first n-gram needs."""
+    if len(word) <= PIECE:
+        return [START + word + END]
+    padded = START + word + END
+    return [padded[: PIECE + 1]] + [padded[i - ORDER + 1 : i + PIECE] for i in range(PIECE + 1, len(padded), PIECE)]
+
+
+def _unit_grams(unit: str) -> list[str]:
+    padded = START * (ORDER - 2) + unit if unit[0] == START else unit
+    return [padded[i : i + ORDER] for i in range(len(padded) - ORDER + 1)]
+
+
+def _unit_counts(text: str) -> Counter:
+    words = Counter(_words(text))
+    out = Counter()
+    for w, n in words.items():
+        if len(w) <= PIECE:
+            out[START + w + END] = n
+        else:
+            for u in _units(w):
+                out[u] += n
+    return out
+
+
 def _lang(column: str = "lang"):
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
@@ -65,28 +93,56 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
     return worst.filter("q = 1 and t = 0").select("doc_id")
 
 
-def ngram_counts(texts: DataFrame) -> DataFrame:
-    """lang, text to lang, gram, n: how often each n-gram of the highest order occurs."""
+def unit_counts(texts: DataFrame) -> DataFrame:
+    """lang, text, t (whether to train on it) to lang, unit, n, t: how often a word or piece occurs, in all texts and in those."""
+
+    def count(batches):
+        found, held = defaultdict(dict), 0
+        for batch in batches:
+            for lang, text, t in zip(batch[0].to_pylist(), batch[1], batch[2].to_pylist(), strict=True):
+                own = found[lang]
+                held -= len(own)
+                for u, n in _unit_counts(text.as_py() or "").items():
+                    at = own.get(u)
+                    if at is None:
+                        own[u] = [n, n if t else 0]
+                    else:
+                        at[0] += n
+                        if t:
+                            at[1] += n
+                held += len(own)
+                if held > PARTIAL:
+                    yield from flush(found)
+                    found.clear()
+                    held = 0
+        yield from flush(found)
+
+    def flush(found):
+        for lang, own in found.items():
+            if own:
+                both = list(own.values())
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(own), pa.string()), pa.array(list(own), pa.string()), pa.array([x[0] for x in both], pa.int64()), pa.array([x[1] for x in both], pa.int64())], ["lang", "unit", "n", "t"])
+
+    counted = texts.select("lang", "text", "t").mapInArrow(count, "lang string, unit string, n long, t long")
+    return counted.groupBy("lang", "unit").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
+
+
+def ngram_counts(units: DataFrame) -> DataFrame:
+    """lang, unit, n to lang, gram, n: how often each n-gram of the highest order occurs."""
 
     def count(batches):
         found, held = defaultdict(lambda: defaultdict(int)), 0
         for batch in batches:
-            words = defaultdict(lambda: defaultdict(int))
-            for lang, text in zip(batch[0].to_pylist(), batch[1], strict=True):
-                own = words[lang]
-                for w in _words(text.as_py() or ""):
-                    own[w] += 1
-            for lang, own in words.items():
+            for lang, unit, n in zip(batch[0].to_pylist(), batch[1].to_pylist(), batch[2].to_pylist(), strict=True):
                 grams = found[lang]
                 held -= len(grams)
-                for w, n in own.items():
-                    for g in _grams(w):
-                        grams[g] += n
+                for g in _unit_grams(unit):
+                    grams[g] += n
                 held += len(grams)
-            if held > PARTIAL:
-                yield from flush(found)
-                found.clear()
-                held = 0
+                if held > PARTIAL:
+                    yield from flush(found)
+                    found.clear()
+                    held = 0
         yield from flush(found)
 
     def flush(found):
@@ -94,21 +150,26 @@ def ngram_counts(texts: DataFrame) -> DataFrame:
             if grams:
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(grams), pa.string()), pa.array(list(grams), pa.string()), pa.array(list(grams.values()), pa.int64())], ["lang", "gram", "n"])
 
-    return texts.select("lang", "text").mapInArrow(count, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    return units.select("lang", "unit", "n").mapInArrow(count, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
 def train(texts: DataFrame) -> DataFrame:
-    """lang, text to a cut table of the model: lang, part, gram, value.
+    """lang, text to a cut table of the model; see ``estimate``."""
+    return estimate(unit_counts(texts.select("lang", "text", F.lit(True).alias("t"))))
+
+
+def estimate(units: DataFrame) -> DataFrame:
+    """lang, unit, n to a cut table of the model: lang, part, gram, value.
 
     part "p": log probability of the gram's last character after the others;
     part "b": log back-off weight of the gram as a history.
     """
-    tables = {ORDER: cut(ngram_counts(texts).withColumn("a", F.col("n")), "kn-counts")}
+    tables = {ORDER: cut(ngram_counts(units).withColumn("a", F.col("n")), "kn-counts")}
     for k in range(ORDER - 1, 0, -1):
         up = tables[k + 1].groupBy("lang", F.substring("gram", 2, k).alias("gram")).agg(F.sum("n").alias("n"), F.count("*").alias("c"))
         # What begins a word has no character before it: its own count stands in for the continuation count.
         tables[k] = cut(up.select("lang", "gram", "n", F.when(F.col("gram").startswith(START), F.col("n")).otherwise(F.col("c")).alias("a")), "kn-counts")
-    model, lower = None, None
+    model, lower, done = None, None, []
     for k in range(1, ORDER + 1):
         t = tables[k].filter(~F.col("gram").endswith(START)).withColumn("h", F.substring("gram", 1, k - 1))
         ones = [F.sum((F.col("a") == i).cast("double")).alias(f"n{i}") for i in (1, 2, 3, 4)]
@@ -121,6 +182,7 @@ def train(texts: DataFrame) -> DataFrame:
         off = F.when(F.col("a") == 1, F.col("d1")).when(F.col("a") == 2, F.col("d2")).otherwise(F.col("d3"))
         t = cut(t.withColumn("off", F.least(off, F.col("a").cast("double"))), "kn-order")
         histories = cut(t.groupBy("lang", "h").agg(F.sum("a").alias("total"), F.sum("off").alias("freed")), "kn-histories")
+        done += [t, cuts, histories]
         t = t.join(histories, ["lang", "h"])
         if lower is None:
             below = 1.0 / (F.col("kinds") + 1)
@@ -135,132 +197,213 @@ def train(texts: DataFrame) -> DataFrame:
             kinds = cuts.select("lang", "kinds")
             back = join_checked(back, cut(kinds, "kn-kinds"), "lang").select("lang", "part", "gram", (F.col("value") - F.log(F.col("kinds") + 1)).alias("value"))
         model = part.unionByName(back) if model is None else model.unionByName(part).unionByName(back)
-    return cut(model, "kn-model")
+        done.append(lower)
+    out = cut(model, "kn-model")
+    forget(*done, *tables.values())
+    return out
 
 
-class Shard:
-    """A shard in a worker: sorted keys and values."""
+class Model:
+    """A trained model, sharded by hash into parts of a bounded number of entries on average."""
 
-    def __init__(self, keys, values, langs, chars):
-        self.keys, self.values, self.langs, self.chars = keys, values, langs, chars
+    def __init__(self, table: DataFrame):
+        self.table = table
+        self.shards = range(max(1, -(-table.count() // SHARD_ENTRIES)))
+        self.parts = max(len(self.shards), int(table.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        self.langs = cut(table.filter("part = 'b' and gram = ''").select("lang"), "kn-langs")
+
+    def of_grams(self, grams: DataFrame) -> DataFrame:
+        """lang, gram (distinct, of the highest order) to lang, gram, value: log probabilities of the last character; a cut table."""
+        wanted, below = {ORDER: grams}, None
+        for k in range(ORDER - 1, 0, -1):
+            wanted[k] = cut(wanted[k + 1].select("lang", F.expr(f"substring(gram, 2, {k})").alias("gram")).distinct(), "kn-wanted")
+        table = self.table.withColumn("size", F.length("gram"))
+        for k in range(1, ORDER + 1):
+            p = table.filter((F.col("part") == "p") & (F.col("size") == k)).select("lang", "gram", F.col("value").alias("p"))
+            b = table.filter((F.col("part") == "b") & (F.col("size") == k - 1)).select("lang", F.col("gram").alias("h"), F.col("value").alias("b"))
+            asked = wanted[k].withColumn("h", F.substring("gram", 1, k - 1)).withColumn("rest", F.substring("gram", 2, k - 1))
+            known = asked.repartition(self.parts, "lang", "gram").join(p, ["lang", "gram"], "left").join(b, ["lang", "h"], "left")
+            back = F.coalesce("b", F.lit(0.0))
+            if below is None:
+                out = known.select("lang", "gram", F.coalesce("p", back).alias("value"))
+            else:
+                less = below.select("lang", F.col("gram").alias("rest"), F.col("value").alias("less"))
+                out = known.join(less, ["lang", "rest"]).select("lang", "gram", F.coalesce(F.col("p"), back + F.col("less")).alias("value"))
+            above, below = below, cut(out, "kn-values")
+            if above is not None:
+                forget(above)
+        forget(*(wanted[k] for k in range(1, ORDER)))
+        return below
+
+    def of_units(self, units: DataFrame) -> DataFrame:
+        """lang, unit, n to those and nll, for the languages that the model knows; a cut table."""
+
+        def grams(batches):
+            for batch in batches:
+                langs, names, found = [], [], []
+                for lang, unit in zip(batch[0].to_pylist(), batch[1].to_pylist(), strict=True):
+                    own = _unit_grams(unit)
+                    langs += [lang] * len(own)
+                    names += [unit] * len(own)
+                    found += own
+                yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(names, pa.string()), pa.array(found, pa.string())], ["lang", "unit", "gram"])
+
+        known = join_checked(units, self.langs, "lang", "left_semi")
+        spread = known.select("lang", "unit").mapInArrow(grams, "lang string, unit string, gram string")
+        values = self.of_grams(cut(spread.select("lang", "gram").distinct(), "kn-grams"))
+        summed = join_checked(spread, values, ["lang", "gram"]).groupBy("lang", "unit").agg((-F.sum("value")).alias("nll"))
+        out = cut(known.join(summed, ["lang", "unit"]).select("lang", "unit", "n", "nll"), "kn-units")
+        forget(values)
+        return out
+
+    def of_texts(self, texts: DataFrame, units: DataFrame) -> DataFrame:
+        """lang, k1, k2 (what tells a text), text to lang, k1, k2, nll, n, once for each text; a cut table."""
+        spark = texts.sparkSession
+        scored = self.of_units(units)
+        level = F.floor(F.log2("n") * 8)
+        # As many rows as there are levels: some hundreds.
+        room, least = HELD_WORDS, None
+        for r in scored.groupBy(level.alias("level")).agg(F.count("*").alias("c")).orderBy(F.desc("level")).collect():
+            room -= r["c"]
+            if room < 0:
+                break
+            least = r["level"]
+        often = level >= (1 << 30 if least is None else least)
+        held = spark.sparkContext.broadcast([c.to_pylist() for c in scored.filter(often).select("lang", "unit", "nll").toArrow().columns])
+        known = {r["lang"] for r in self.langs.filter("lang is not null").limit(LANGUAGES).collect()}
+        everything = len(known) < LANGUAGES
+
+        def ask(batches):
+            own = defaultdict(dict)
+            for lang, unit, nll in zip(*held.value, strict=True):
+                own[lang][unit] = nll
+            langs, first, second, units, counts, sums, sizes = columns = [[] for _ in range(7)]
+            for batch in batches:
+                for lang, k1, k2, text in zip(*(batch[c].to_pylist() for c in range(3)), batch[3], strict=True):
+                    there, total, size = own[lang], 0.0, 0
+                    skip = everything and lang not in known
+                    for u, n in _unit_counts(text.as_py() or "").items():
+                        size += n * (len(u) - (1 if u[0] == START else ORDER - 1))
+                        nll = 0.0 if skip else there.get(u)
+                        if nll is None:
+                            for column, value in zip(columns, (lang, k1, k2, u, n, None, None), strict=True):
+                                column.append(value)
+                        else:
+                            total += n * nll
+                    for column, value in zip(columns, (lang, k1, k2, None, None, total, size), strict=True):
+                        column.append(value)
+                    if len(langs) > 50_000:
+                        yield packed(columns)
+                        for column in columns:
+                            column.clear()
+            yield packed(columns)
+
+        def packed(columns):
+            kinds = (pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.float64(), pa.int64())
+            return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)], ["lang", "k1", "k2", "unit", "c", "nll", "n"])
+
+        asked = cut(texts.select("lang", "k1", "k2", "text").mapInArrow(ask, "lang string, k1 long, k2 long, unit string, c int, nll double, n long"), "kn-asked")
+        rare = scored.filter(~often).select("lang", "unit", F.col("nll").alias("each"))
+        met = asked.filter("unit IS NOT NULL").join(rare, ["lang", "unit"]).select("lang", "k1", "k2", "unit", (F.col("c") * F.col("each")).alias("nll"), F.lit(None).cast("long").alias("n"))
+        every = asked.filter("unit IS NULL").select("lang", "k1", "k2", "unit", "nll", "n").unionByName(met)
+        # A text that stands on several rows has asked several times.
+        once = every.groupBy("lang", "k1", "k2", "unit").agg(F.max("nll").alias("nll"), F.max("n").alias("n"))
+        out = cut(once.groupBy("lang", "k1", "k2").agg(F.sum("nll").alias("nll"), F.sum("n").alias("n")), "kn-texts")
+        forget(asked, scored)
+        held.unpersist()
+        return out
 
-    def prepare(self):
-        import xxhash
+    def score(self, df: DataFrame, lang, text, out: str) -> DataFrame:
+        """Add a column ``out``: STRUCT<nll: double, n: long>."""
+        keyed = df.select(lang.alias("lang"), *_content(text), text.alias("text"))
+        units = cut(unit_counts(keyed.withColumn("t", F.lit(False))), "kn-words")
+        scores = self.of_texts(keyed, units)
+        forget(units)
+        return _with_given(df, scores.select("lang", "k1", "k2", F.struct("nll", "n").alias("given")), lang, text, out)
 
-        self.memos, self.grams = {}, {}
-        self.hash = xxhash.xxh64_intdigest
-        self.seeds = {lang: self.hash(lang.encode(), 42) for lang in self.langs}
-        return self
 
-    def value(self, lang: str, part: str, gram: str):
-        key = np.uint64(self.hash(gram.encode(), self.hash(part.encode(), self.seeds[lang])))
-        at = int(np.searchsorted(self.keys, key))
-        return float(self.values[at]) if at < len(self.keys) and self.keys[at] == key else None
+#: Languages up to which a list of them is sent along, so that others needn't be asked about.
+LANGUAGES = 10_000
 
-    def gram(self, lang: str, gram: str) -> float:
-        """Log probability of the last character, or 0 if another shard has its history."""
-        mine = self.chars.get((lang, gram[-2]))
-        if not mine:
-            return 0.0
-        weight = 0.0
-        for k in range(ORDER, 0, -1):
-            p = self.value(lang, "p", gram[-k:])
-            if p is not None:
-                return weight + p
-            weight += self.value(lang, "b", gram[-k:-1] if k > 1 else "") or 0.0
-        return weight
 
-    def word_memo(self, lang: str):
-        if lang not in self.memos:
-            grams = Memo(lambda g: self.gram(lang, g), REMEMBERED)
-            get = grams.__getitem__
-            self.memos[lang] = Memo(lambda w: sum(map(get, _grams(w))), REMEMBERED)
-        return self.memos[lang]
+def _content(text) -> list:
+    return [F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(1), text).alias("k2")]
 
 
-_shards: dict[str, Shard] = {}
+def _keyed(df: DataFrame, lang, text, tag: str) -> DataFrame:
+    k1, k2 = _content(text)
+    return df.select("*", lang.alias(f"l_{tag}"), k1.alias(f"a_{tag}"), k2.alias(f"b_{tag}"))
 
 
-class Model:
-    """The shards of a trained model, broadcast one by one."""
+def _of_text(rows: DataFrame, tag: str, *more) -> tuple[DataFrame, object]:
+    """rows of lang, k1, k2 under names of their own, and the condition that a row of ``_keyed`` has their text."""
+    named = rows.select(*(F.col(x).alias(f"{x}_{tag}") for x in ("lang", "k1", "k2")), *more)
+    same = [F.col(f"{x}_{tag}") == F.col(f"{y}_{tag}") for x, y in (("l", "lang"), ("a", "k1"), ("b", "k2"))]
+    return named, same[0] & same[1] & same[2]
 
-    def __init__(self, table: DataFrame):
-        spark = table.sparkSession
-        # The last character of the history: before the last of a "p" gram, the last of a "b" gram; order 1 goes everywhere.
-        char = F.when(F.col("part") == "p", F.substring("gram", -2, 1)).otherwise(F.substring("gram", -1, 1))
-        first = F.length("gram") <= F.when(F.col("part") == "p", 1).otherwise(0)
-        keyed = table.select("lang", F.when(first, "").otherwise(char).alias("char"), F.xxhash64("lang", "part", "gram").alias("key"), F.col("value").cast("float").alias("value"))
-        # As many rows as there are pairs of a language and a character.
-        sizes = [(r["lang"], r["char"], r["n"]) for r in keyed.groupBy("lang", "char").agg(F.count("*").alias("n")).orderBy("lang", "char").collect()]
-        self.langs = sorted({lang for lang, _, _ in sizes})
-        bins, held = [[]], 0
-        for lang, c, n in sizes:
-            if c == "":
-                continue
-            if held and held + n > SHARD_ENTRIES:
-                bins.append([])
-                held = 0
-            bins[-1].append((lang, c))
-            held += n
-        self.shards = []
-        for pairs in bins:
-            wanted = spark.createDataFrame([*pairs, *{(lang, "") for lang, _ in pairs}] or [("", "")], "lang string, char string")
-            rows = keyed.join(F.broadcast(wanted), ["lang", "char"]).select("key", "value").toArrow()
-            keys = rows["key"].to_numpy().view(np.uint64)
-            order = np.argsort(keys)
-            shard = Shard(keys[order], rows["value"].to_numpy()[order], sorted({p[0] for p in pairs}), dict.fromkeys(pairs, True))
-            self.shards.append((uuid.uuid4().hex, spark.sparkContext.broadcast(shard)))
 
-    def score(self, df: DataFrame, lang, text, out: str) -> DataFrame:
-        """Add a column ``out``: STRUCT<nll: double, n: long>, summed over the shards."""
-        for k, (name, held) in enumerate(self.shards):
-            udf = self._udf(name, held)
-            before = F.col(out) if k else F.lit(None).cast("struct<nll: double, n: long>")
-            added = udf(lang, text)
-            df = df.withColumn(out, added if not k else F.struct((before["nll"] + added["nll"]).alias("nll"), before["n"].alias("n")))
-        return df
-
-    @staticmethod
-    def _udf(name, held):
-        @F.pandas_udf("nll double, n long")
-        def score(langs: pd.Series, texts: pd.Series) -> pd.DataFrame:
-            if name not in _shards:
-                _shards.clear()
-                _shards[name] = held.value.prepare()
-            shard, nll, size = _shards[name], [], []
-            for lang, text in zip(langs, texts, strict=True):
-                words = _words(text)
-                size.append(sum(map(len, words)) + len(words))
-                nll.append(-math.fsum(map(shard.word_memo(lang).__getitem__, words)) if lang in shard.seeds else 0.0)
-            return pd.DataFrame({"nll": nll, "n": size})
-
-        return score
+def _with_given(df: DataFrame, rows: DataFrame, lang, text, out: str) -> DataFrame:
+    tag = uuid.uuid4().hex
+    given, same = _of_text(rows, tag, F.col("given").alias(out))
+    return _keyed(df, lang, text, tag).join(given, same, "left").select(*df.columns, out)
 
 
-def judge(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> tuple[DataFrame, str]:
-    """docs with one more column: STRUCT<perplexity, threshold, keep>; and that column's name."""
-    own = "quality_" + uuid.uuid4().hex
-    ids = cut(trusted_ids(labels).withColumnRenamed("doc_id", "trusted"), "kn-trusted")
-    base = docs.select(_lang().alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.col("doc_id").alias("id"))
-    trusted = join_checked(base, ids, F.col("id") == F.col("trusted"), "left_semi")
-    fold = F.pmod(F.xxhash64("id"), F.lit(HELD_OUT))
-    table = train(trusted.filter(fold != 0))
+def _scores(docs: DataFrame, labels: DataFrame, quantile: float) -> tuple[DataFrame, DataFrame]:
+    """Cut tables: lang (with fold), k1, k2, nll, n of all texts; lang, mean, low, high of the trusted ones."""
+    ids = cut(trusted_ids(labels).withColumnRenamed("doc_id", "trusted").withColumn("t", F.lit(True)), "kn-trusted")
+    text = _text()
+    base = docs.select(_lang_fold(text).alias("lang"), *_content(text), text.alias("text"), F.col("doc_id").alias("id"))
+    marked = join_checked(base, ids, F.col("id") == F.col("trusted"), "left").select("lang", "k1", "k2", "text", F.coalesce("t", F.lit(False)).alias("t"))
+    units = cut(unit_counts(marked), "kn-words")
+    other = F.concat(F.expr("substring(lang, 1, length(lang) - 1)"), (F.lit(FOLDS - 1) - F.substring("lang", -1, 1).cast("int")).cast("string"))
+    table = estimate(units.filter("t > 0").select(other.alias("lang"), "unit", F.col("t").alias("n")))
     model = Model(table)
-    held = cut(model.score(trusted.filter(fold == 0), F.col("lang"), F.col("text"), "s").select("lang", "s.nll", "s.n").filter("n > 0"), "kn-held")
+    scores = model.of_texts(base, units)
+    keys = join_checked(base.select("lang", "k1", "k2", "id"), ids, F.col("id") == F.col("trusted"), "left_semi").select("lang", "k1", "k2")
+    plain = F.expr("substring(lang, 1, length(lang) - 2)")
+    held = keys.join(scores, ["lang", "k1", "k2"]).filter("n > 0")
+    held = join_checked(held, model.langs, "lang", "left_semi").select(plain.alias("lang"), "nll", "n")
     means = held.groupBy("lang").agg((F.sum("nll") / F.sum("n")).alias("mean"))
     drawn = held.join(means, "lang").withColumn("s", (F.col("nll") + PRIOR_CHARS * F.col("mean")) / (F.col("n") + PRIOR_CHARS))
-    limits = cut(drawn.groupBy(F.col("lang").alias(own)).agg(F.first("mean").alias(f"{own}_mean"), F.percentile_approx("s", quantile, 100_000).alias(f"{own}_limit")), "kn-limits")
-    forget(table)
-    scored = model.score(docs, _lang(), F.coalesce(F.col("text").cast("string"), F.lit("")), f"{own}_s")
-    scored = join_checked(scored, limits, _lang() == F.col(own), "left")
-    nll, n, mean, limit = F.col(f"{own}_s.nll"), F.col(f"{own}_s.n"), F.col(f"{own}_mean"), F.col(f"{own}_limit")
-    known = limit.isNotNull() & (n > 0)
-    s = (nll + PRIOR_CHARS * mean) / (n + PRIOR_CHARS)
-    verdict = F.struct(F.when(known, F.exp(nll / n)).alias("perplexity"), F.when(known, F.exp(s)).alias("statistic"), F.exp(limit).alias("threshold"), (~known | (s <= limit)).alias("keep"))
-    return scored.select(*[docs[c] for c in docs.columns], verdict.alias(own)), own
-
-
-def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    tail = (1 - quantile) / 2
+    limits = drawn.groupBy("lang").agg(F.first("mean").alias("mean"), F.percentile_approx("s", tail, 100_000).alias("low"), F.percentile_approx("s", 1 - tail, 100_000).alias("high"))
+    # A language's limits hold for texts that the other fold has a model for.
+    limits = model.langs.join(limits.withColumnRenamed("lang", "plain"), plain == F.col("plain")).select("lang", "mean", "low", "high")
+    limits = cut(limits, "kn-limits")
+    forget(table, units, ids)
+    return scores, limits
+
+
+def _lang_fold(text):
+    """A language and the fold of a text: the model that scores it."""
+    return F.concat(_lang(), F.lit("/"), F.pmod(F.xxhash64(F.lit(2), text), F.lit(FOLDS)).cast("string"))
+
+
+def _with_verdicts(scores: DataFrame, limits: DataFrame) -> DataFrame:
+    """lang, k1, k2, given: STRUCT<perplexity, statistic, least, threshold, keep>."""
+    nll, n = F.col("nll"), F.col("n")
+    known = F.col("high").isNotNull() & (n > 0)
+    drawn = (nll + PRIOR_CHARS * F.col("mean")) / (n + PRIOR_CHARS)
+    keep = F.coalesce(~known | drawn.between(F.col("low"), F.col("high")), F.lit(True))
+    given = F.struct(F.when(known, F.exp(nll / n)).alias("perplexity"), F.when(known, F.exp(drawn)).alias("statistic"), F.exp("low").alias("least"), F.exp("high").alias("threshold"), keep.alias("keep"))
+    return join_checked(scores, limits, "lang", "left").select("lang", "k1", "k2", given.alias("given"))
+
+
+def _text():
+    return F.coalesce(F.col("text").cast("string"), F.lit(""))
+
+
+def judge(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> tuple[DataFrame, str]:
+    """docs with one more column: STRUCT<perplexity, statistic, least, threshold, keep>; and that column's name."""
+    own = "quality_" + uuid.uuid4().hex
+    return _with_given(docs, _with_verdicts(*_scores(docs, labels, quantile)), _lang_fold(_text()), _text(), own), own
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:
     """The documents that aren't rejected, with their own columns."""
-    judged, own = judge(docs, labels)
-    return judged.filter(F.col(own)["keep"]).drop(own)
+    tag = uuid.uuid4().hex
+    scores, limits = _scores(docs, labels, quantile)
+    gone, same = _of_text(_with_verdicts(scores, limits).filter(~F.col("given")["keep"]), tag)
+    gone = cut(gone, "kn-gone")
+    forget(scores, limits)
+    return join_checked(_keyed(docs, _lang_fold(_text()), _text(), tag), gone, same, "left_anti").select(*docs.columns)
