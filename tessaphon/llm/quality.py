@@ -13,15 +13,19 @@ theirs, and text that is likelier, as one word over and over often is.
 
 A word's probability doesn't depend on its neighbours.  So texts are first
 reduced to the counts of their words (long ones in pieces that know the four
-characters before them), which grow with the corpus, and pre-aggregated.  Counts of
+characters before them), pre-aggregated.  Counts of
 n-grams come from the words of trusted documents; continuation counts,
 discounts, back-off weights and probabilities from joins of the count tables on
-the history.  For scoring, the distinct n-grams of the distinct words are joined with the
-model, order by order, on (language, n-gram), and summed by word.  The most
-frequent words, of a bounded number, are broadcast and summed where a document is read;
-the others, none of which can be a hot key any more, are joined with the documents' word
-counts and summed by document.  All tables of a join have one row for a key on
-one side at least, are sharded by hash, and never pass through the driver.
+the history.
+
+Scoring.  A model of one shard, of a bounded number of entries, is broadcast, and
+each text is read once.  A larger one never passes through the driver: the
+distinct n-grams of the corpus's distinct words are joined with it, order by order, on
+(language, n-gram), and summed by word.  The most frequent words, of a bounded number, are
+broadcast and summed where a document is read; the others, none of which can be a hot key any
+more, are joined with the documents' word counts and summed by document.  All
+tables of a join have one row for a key on one side at least, and are sharded by hash.
+Both ways give the same sums.
 
 Defined cases: a null or empty text has no words, no perplexity and is kept; a
 null language is a language of its own; a document in a language of which the other
@@ -32,18 +36,22 @@ empty results; the columns of docs stay as they are, whatever they are called.
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections import Counter, defaultdict
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, forget, join_checked
+from .wfst import Memo
 
 ORDER, QUANTILE, FOLDS, PRIOR_CHARS = 5, 0.995, 2, 200
-#: Entries of a shard of the model; partial counts in a worker; words that are broadcast; characters of a long word's pieces.
-SHARD_ENTRIES, PARTIAL, HELD_WORDS, PIECE = 2_000_000, 400_000, 100_000, 24
+#: Entries of a shard of the model; partial counts, words and n-grams remembered in a worker; words that are broadcast;
+#: characters of a long word's pieces.
+SHARD_ENTRIES, PARTIAL, REMEMBERED, HELD_WORDS, PIECE = 4_000_000, 400_000, 250_000, 100_000, 24
 START, END = "\x02", "\x03"
 
 
@@ -203,6 +211,45 @@ def estimate(units: DataFrame) -> DataFrame:
     return out
 
 
+class Shard:
+    """A model of one shard in a worker: sorted keys and values."""
+
+    def __init__(self, keys, values):
+        import xxhash
+
+        self.keys, self.values, self.hash = keys, values, xxhash.xxh64_intdigest
+        self.seeds, self.memos = {}, {}
+
+    def value(self, lang: str, part: str, gram: str):
+        key = np.uint64(self.hash(gram.encode(), self.hash(part.encode(), self.seeds[lang])))
+        at = int(np.searchsorted(self.keys, key))
+        return float(self.values[at]) if at < len(self.keys) and self.keys[at] == key else None
+
+    def gram(self, lang: str, gram: str) -> float:
+        """Log probability of the last character; an unseen history has no back-off weight and passes on."""
+        weight = 0.0
+        for k in range(ORDER, 0, -1):
+            p = self.value(lang, "p", gram[-k:])
+            if p is not None:
+                return weight + p
+            weight += self.value(lang, "b", gram[-k:-1] if k > 1 else "") or 0.0
+        return weight
+
+    def units(self, lang: str):
+        """Negative log probabilities of a language's words and pieces; None for one that the model doesn't know."""
+        if lang not in self.memos:
+            self.seeds[lang] = self.hash(lang.encode(), 42)
+            if self.value(lang, "b", "") is None:
+                self.memos[lang] = None
+            else:
+                get = Memo(lambda g: self.gram(lang, g), REMEMBERED).__getitem__
+                self.memos[lang] = Memo(lambda u: -sum(map(get, _unit_grams(u))), REMEMBERED)
+        return self.memos[lang]
+
+
+_shards: dict[str, Shard] = {}
+
+
 class Model:
     """A trained model, sharded by hash into parts of a bounded number of entries on average."""
 
@@ -240,24 +287,47 @@ class Model:
 
         def grams(batches):
             for batch in batches:
-                langs, names, found = [], [], []
-                for lang, unit in zip(batch[0].to_pylist(), batch[1].to_pylist(), strict=True):
-                    own = _unit_grams(unit)
-                    langs += [lang] * len(own)
-                    names += [unit] * len(own)
-                    found += own
-                yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(names, pa.string()), pa.array(found, pa.string())], ["lang", "unit", "gram"])
+                found = [_unit_grams(unit) for unit in batch[1].to_pylist()]
+                each = pa.array(np.repeat(np.arange(batch.num_rows), list(map(len, found))))
+                yield pa.RecordBatch.from_arrays([*(c.take(each) for c in batch.columns), pa.array([g for own in found for g in own], pa.string())], ["lang", "unit", "n", "gram"])
 
         known = join_checked(units, self.langs, "lang", "left_semi")
-        spread = known.select("lang", "unit").mapInArrow(grams, "lang string, unit string, gram string")
+        spread = known.select("lang", "unit", "n").mapInArrow(grams, "lang string, unit string, n long, gram string")
         values = self.of_grams(cut(spread.select("lang", "gram").distinct(), "kn-grams"))
-        summed = join_checked(spread, values, ["lang", "gram"]).groupBy("lang", "unit").agg((-F.sum("value")).alias("nll"))
-        out = cut(known.join(summed, ["lang", "unit"]).select("lang", "unit", "n", "nll"), "kn-units")
+        out = cut(join_checked(spread, values, ["lang", "gram"]).groupBy("lang", "unit", "n").agg((-F.sum("value")).alias("nll")), "kn-units")
         forget(values)
         return out
 
-    def of_texts(self, texts: DataFrame, units: DataFrame) -> DataFrame:
+    def of_texts(self, texts: DataFrame) -> DataFrame:
         """lang, k1, k2 (what tells a text), text to lang, k1, k2, nll, n, once for each text; a cut table."""
+        return self._broadcast(texts) if len(self.shards) == 1 else self._joined(texts)
+
+    def _broadcast(self, texts: DataFrame) -> DataFrame:
+        rows = self.table.select(F.xxhash64("lang", "part", "gram").alias("key"), "value").toArrow()
+        keys = rows["key"].to_numpy().view(np.uint64)
+        order = np.argsort(keys)
+        name, held = uuid.uuid4().hex, texts.sparkSession.sparkContext.broadcast((keys[order], rows["value"].to_numpy()[order]))
+
+        def score(batches):
+            if name not in _shards:
+                _shards.clear()
+                _shards[name] = Shard(*held.value)
+            shard = _shards[name]
+            for batch in batches:
+                sums, sizes = [], []
+                for lang, text in zip(batch[0].to_pylist(), batch[3], strict=True):
+                    counts, known = _unit_counts(text.as_py() or ""), shard.units(lang)
+                    sizes.append(sum(n * (len(u) - (1 if u[0] == START else ORDER - 1)) for u, n in counts.items()))
+                    sums.append(math.fsum(n * known[u] for u, n in counts.items()) if known is not None else 0.0)
+                yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(sums, pa.float64()), pa.array(sizes, pa.int64())], ["lang", "k1", "k2", "nll", "n"])
+
+        scored = texts.select("lang", "k1", "k2", "text").mapInArrow(score, "lang string, k1 long, k2 long, nll double, n long")
+        out = cut(scored.groupBy("lang", "k1", "k2").agg(F.max("nll").alias("nll"), F.max("n").alias("n")), "kn-texts")
+        held.unpersist()
+        return out
+
+    def _joined(self, texts: DataFrame) -> DataFrame:
+        units = cut(unit_counts(texts.withColumn("t", F.lit(False))), "kn-words")
         spark = texts.sparkSession
         scored = self.of_units(units)
         level = F.floor(F.log2("n") * 8)
@@ -309,16 +379,14 @@ class Model:
         # A text that stands on several rows has asked several times.
         once = every.groupBy("lang", "k1", "k2", "unit").agg(F.max("nll").alias("nll"), F.max("n").alias("n"))
         out = cut(once.groupBy("lang", "k1", "k2").agg(F.sum("nll").alias("nll"), F.sum("n").alias("n")), "kn-texts")
-        forget(asked, scored)
+        forget(asked, scored, units)
         held.unpersist()
         return out
 
     def score(self, df: DataFrame, lang, text, out: str) -> DataFrame:
         """Add a column ``out``: STRUCT<nll: double, n: long>."""
         keyed = df.select(lang.alias("lang"), *_content(text), text.alias("text"))
-        units = cut(unit_counts(keyed.withColumn("t", F.lit(False))), "kn-words")
-        scores = self.of_texts(keyed, units)
-        forget(units)
+        scores = self.of_texts(keyed)
         return _with_given(df, scores.select("lang", "k1", "k2", F.struct("nll", "n").alias("given")), lang, text, out)
 
 
@@ -350,16 +418,16 @@ def _with_given(df: DataFrame, rows: DataFrame, lang, text, out: str) -> DataFra
 
 def _scores(docs: DataFrame, labels: DataFrame, quantile: float) -> tuple[DataFrame, DataFrame]:
     """Cut tables: lang (with fold), k1, k2, nll, n of all texts; lang, mean, low, high of the trusted ones."""
-    ids = cut(trusted_ids(labels).withColumnRenamed("doc_id", "trusted").withColumn("t", F.lit(True)), "kn-trusted")
+    ids = cut(trusted_ids(labels).withColumnRenamed("doc_id", "trusted"), "kn-trusted")
     text = _text()
     base = docs.select(_lang_fold(text).alias("lang"), *_content(text), text.alias("text"), F.col("doc_id").alias("id"))
-    marked = join_checked(base, ids, F.col("id") == F.col("trusted"), "left").select("lang", "k1", "k2", "text", F.coalesce("t", F.lit(False)).alias("t"))
-    units = cut(unit_counts(marked), "kn-words")
+    trusted = join_checked(base, ids, F.col("id") == F.col("trusted"), "left_semi")
     other = F.concat(F.expr("substring(lang, 1, length(lang) - 1)"), (F.lit(FOLDS - 1) - F.substring("lang", -1, 1).cast("int")).cast("string"))
-    table = estimate(units.filter("t > 0").select(other.alias("lang"), "unit", F.col("t").alias("n")))
+    units = unit_counts(trusted.select("lang", "text", F.lit(True).alias("t")))
+    table = estimate(units.select(other.alias("lang"), "unit", "n"))
     model = Model(table)
-    scores = model.of_texts(base, units)
-    keys = join_checked(base.select("lang", "k1", "k2", "id"), ids, F.col("id") == F.col("trusted"), "left_semi").select("lang", "k1", "k2")
+    scores = model.of_texts(base)
+    keys = trusted.select("lang", "k1", "k2")
     plain = F.expr("substring(lang, 1, length(lang) - 2)")
     held = keys.join(scores, ["lang", "k1", "k2"]).filter("n > 0")
     held = join_checked(held, model.langs, "lang", "left_semi").select(plain.alias("lang"), "nll", "n")
@@ -370,7 +438,7 @@ def _scores(docs: DataFrame, labels: DataFrame, quantile: float) -> tuple[DataFr
     # A language's limits hold for texts that the other fold has a model for.
     limits = model.langs.join(limits.withColumnRenamed("lang", "plain"), plain == F.col("plain")).select("lang", "mean", "low", "high")
     limits = cut(limits, "kn-limits")
-    forget(table, units, ids)
+    forget(table, ids)
     return scores, limits
 
 
