@@ -431,8 +431,9 @@ def _scores(docs: DataFrame, labels: DataFrame, quantile: float) -> tuple[DataFr
     plain = F.expr("substring(lang, 1, length(lang) - 2)")
     held = keys.join(scores, ["lang", "k1", "k2"]).filter("n > 0")
     held = join_checked(held, model.langs, "lang", "left_semi").select(plain.alias("lang"), "nll", "n")
-    means = held.groupBy("lang").agg((F.sum("nll") / F.sum("n")).alias("mean"))
-    drawn = held.join(means, "lang").withColumn("s", (F.col("nll") + PRIOR_CHARS * F.col("mean")) / (F.col("n") + PRIOR_CHARS))
+    # One row for a language: broadcast, so that the quantiles' sketches are made where the rows are.
+    means = cut(held.groupBy("lang").agg((F.sum("nll") / F.sum("n")).alias("mean")), "kn-means")
+    drawn = join_checked(held, means, "lang").withColumn("s", (F.col("nll") + PRIOR_CHARS * F.col("mean")) / (F.col("n") + PRIOR_CHARS))
     tail = (1 - quantile) / 2
     limits = drawn.groupBy("lang").agg(F.first("mean").alias("mean"), F.percentile_approx("s", tail, 100_000).alias("low"), F.percentile_approx("s", 1 - tail, 100_000).alias("high"))
     # A language's limits hold for texts that the other fold has a model for.
