@@ -39,7 +39,18 @@ def tone(frequency: float = 220.0, seconds: float = 5.0, sr: int = 22050, amplit
     return F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: (amplitude * F.sin(2 * F.pi() * frequency * i / sr)).cast("float"))
 
 
-def cut_chunks(y, size: int, keep_tail: bool = False):
-    """Consecutive slices of ``size`` elements; the rest is dropped or kept."""
-    n = F.ceil(F.size(y) / size) if keep_tail else F.floor(F.size(y) / size)
-    return F.when(n > 0, F.transform(F.sequence(F.lit(0), (n - 1).cast("int")), lambda i: F.slice(y, i * size + 1, F.lit(size)))).otherwise(F.array().cast("array<array<float>>"))
+def chunk_count(samples, sr, seconds: float, keep_tail: bool = False):
+    """Whole chunks in so many samples (or those with the rest)."""
+    chunks = samples / sr.cast("double") / F.lit(float(seconds))
+    return (F.ceil(chunks) if keep_tail else F.floor(chunks)).cast("int")
+
+
+def cut_chunks(y, sr, seconds: float, keep_tail: bool = False):
+    """Consecutive slices of so many seconds; the rest is dropped or kept.
+
+    A chunk starts at the sample nearest to its start in seconds, so chunks of
+    a length that isn't a whole number of samples don't drift.
+    """
+    n = chunk_count(F.size(y), sr, seconds, keep_tail)
+    at = lambda k: F.rint(k * F.lit(float(seconds)) * sr).cast("int")
+    return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.slice(y, at(i) + 1, at(F.lit(1))))).otherwise(F.array().cast("array<array<float>>"))

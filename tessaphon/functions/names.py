@@ -29,9 +29,25 @@ def base_name(path):
 
 
 def stem(name):
+    """A file name without its last suffix."""
     return F.regexp_replace(name, r"\.[^.]*$", "")
 
 
+def download_of(name, link_id: str):
+    """Whether a file is the download of a link: its name holds the id and the suffix of such files, anywhere."""
+    return F.contains(name, F.lit(".opus")) & F.contains(name, F.lit(link_id))
+
+
+def is_wav(name):
+    """Whether a name ends in .wav, in small letters."""
+    return F.endswith(name, F.lit(".wav"))
+
+
+def legacy_chunk_index(chunk_idx, augmented: bool):
+    """The number of a chunk's file in older folders: sounds so far, its own copies counted."""
+    return (chunk_idx + 1) * (2 if augmented else 1)
+
+
 def label_of_archive(name, compat: bool = False):
     """A class label from an archive's name; compat strips the characters of ".npz" from both ends."""
     return F.regexp_replace(name, r"^[.npz]+|[.npz]+$", "") if compat else F.regexp_replace(name, r"\.npz$", "")

@@ -1,8 +1,9 @@
-"""WAV and NPZ bytes, without Spark."""
+"""WAV, AIFF and NPZ bytes, without Spark."""
 
 from __future__ import annotations
 
 import io
+import struct
 import wave
 
 import numpy as np
@@ -25,8 +26,45 @@ def decode_wav(content: bytes) -> tuple[int, np.ndarray]:
     return rate, y.reshape(-1, channels).T
 
 
+def _extended(data: bytes) -> float:
+    """The 80-bit number that AIFF gives the rate in."""
+    exponent, mantissa = struct.unpack(">HQ", data)
+    return mantissa * 2.0 ** ((exponent & 0x7FFF) - 16383 - 63)
+
+
+def decode_aiff(content: bytes) -> tuple[int, np.ndarray]:
+    """As decode_wav, of AIFF and of uncompressed AIFF-C."""
+    if content[:4] != b"FORM" or content[8:12] not in (b"AIFF", b"AIFC"):
+        raise ValueError("not an AIFF file")
+    at, head, body = 12, None, b""
+    while at + 8 <= len(content):
+        kind, size = struct.unpack(">4sI", content[at : at + 8])
+        if kind == b"COMM":
+            head = content[at + 8 : at + 8 + size]
+        elif kind == b"SSND":
+            skip = struct.unpack(">I", content[at + 8 : at + 12])[0]
+            body = content[at + 16 + skip : at + 8 + size]
+        at += 8 + size + size % 2
+    if head is None:
+        raise ValueError("an AIFF file without a COMM chunk")
+    channels, count, bits = struct.unpack(">hIh", head[:8])
+    coding = head[18:22] if content[8:12] == b"AIFC" else b"NONE"
+    if coding not in (b"NONE", b"twos", b"sowt", b"fl32", b"FL32"):
+        raise ValueError(f"no decoder for AIFF-C of the kind {coding!r}")
+    width, order = (bits + 7) // 8, "<" if coding == b"sowt" else ">"
+    body = body[: count * channels * width]
+    if coding in (b"fl32", b"FL32"):
+        y = np.frombuffer(body, ">f4").astype(np.float32)
+    elif width == 3:
+        b = np.frombuffer(body, np.uint8).reshape(-1, 3).astype(np.int32)[:, :: 1 if order == "<" else -1]
+        y = ((b[:, 0] << 8 | b[:, 1] << 16 | b[:, 2] << 24) >> 8).astype(np.float32) / (1 << 23)
+    else:
+        y = np.frombuffer(body, f"{order}i{width}").astype(np.float32) / (1 << (8 * width - 1))
+    return round(_extended(head[8:18])), y.reshape(-1, channels).T
+
+
 #: Decoders by suffix: bytes to (rate, channels by samples). Others can be registered here.
-DECODERS = {".wav": decode_wav}
+DECODERS = {".wav": decode_wav, ".aiff": decode_aiff, ".aif": decode_aiff}
 
 
 def load(content: bytes, suffix: str, sample_rate: int | None, mono: bool, offset_sec: float = 0.0, duration_sec: float | None = None):

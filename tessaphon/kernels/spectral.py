@@ -102,9 +102,35 @@ def chroma_bank(sr: int, n_fft: int, n_chroma: int, tuning: float = 0.0) -> np.n
     return np.roll(w, -3 * (n_chroma // 12), axis=0)[:, : n_fft // 2 + 1]
 
 
-def chroma(y, sr: int = 22050, n_fft: int = 2048, hop: int = 512, win_length: int | None = None, n_chroma: int = 48, center: bool = True, tuning: float = 0.0) -> np.ndarray:
-    """Pitch classes by frames, the largest of a frame 1."""
-    raw = chroma_bank(sr, n_fft, n_chroma, tuning) @ np.abs(stft(y, n_fft, hop, win_length, center)) ** 2
+def peaks(magnitude: np.ndarray, sr: int, low: float = 150.0, high: float = 4000.0, least: float = 0.1) -> tuple[np.ndarray, np.ndarray]:
+    """Frequencies and heights of the spectral peaks of all frames, between the bins by a parabola through three of them."""
+    n_fft = 2 * (magnitude.shape[0] - 1)
+    left, here, right = magnitude[:-2], magnitude[1:-1], magnitude[2:]
+    hz = np.arange(1, magnitude.shape[0] - 1)[:, None] * sr / n_fft
+    tall = here > least * magnitude.max(axis=0, keepdims=True, initial=0.0)
+    k, frame = np.nonzero((here > left) & (here >= right) & tall & (hz >= low) & (hz < high))
+    a, b, c = left[k, frame], here[k, frame], right[k, frame]
+    slope, bend = (c - a) / 2, 2 * b - a - c
+    shift = np.where(np.abs(bend) > 1e-12, slope / np.where(bend == 0, 1, bend), 0.0)
+    return (k + 1 + shift) * sr / n_fft, b + slope * shift / 2
+
+
+def tuning_of(power: np.ndarray, sr: int, per_octave: int = 12, resolution: float = 0.01) -> float:
+    """How far a sound's tones lie from those around 440 Hz, in parts of a tone (-0.5 to 0.5): the most frequent of its louder peaks."""
+    hz, height = peaks(power, sr)
+    hz = hz[height >= np.median(height)] if len(height) else hz
+    if not len(hz):
+        return 0.0
+    off = np.mod(per_octave * np.log2(hz / 440), 1.0)
+    off[off >= 0.5] -= 1.0
+    counts, edges = np.histogram(off, np.linspace(-0.5, 0.5, int(np.ceil(1 / resolution)) + 1))
+    return float(edges[counts.argmax()])
+
+
+def chroma(y, sr: int = 22050, n_fft: int = 2048, hop: int = 512, win_length: int | None = None, n_chroma: int = 48, center: bool = True, tuning: float | None = 0.0) -> np.ndarray:
+    """Pitch classes by frames, the largest of a frame 1; without a tuning, the sound's own."""
+    power = np.abs(stft(y, n_fft, hop, win_length, center)) ** 2
+    raw = chroma_bank(sr, n_fft, n_chroma, tuning_of(power, sr, n_chroma) if tuning is None else tuning) @ power
     top = raw.max(axis=0, keepdims=True) if raw.size else raw
     return raw / np.where(top > 1e-12, top, 1)
 

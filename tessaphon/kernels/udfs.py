@@ -6,6 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
+from ..config import RATE, Spectrum
 from . import spectral
 
 FEATURE = "shape array<int>, dtype string, re array<float>, im array<float>"
@@ -24,20 +25,22 @@ def _features(kernel):
     return feature
 
 
-#: Feature kinds: (spectrogram settings, rate of the features) to a kernel. Others can be registered here.
+#: Feature kinds: spectrum settings to a kernel. Others can be registered here.
 KINDS = {
-    "stft": lambda spec, sr: lambda y: spectral.stft(y, spec.n_fft, spec.hop_length, spec.win_length),
-    "mel": lambda spec, sr: lambda y: spectral.mel(y, sr, spec.n_fft, spec.hop_length, spec.win_length, spec.n_mels),
-    "mfcc": lambda spec, sr: lambda y: spectral.mfcc(y, 22050),
-    "chroma": lambda spec, sr: lambda y: spectral.chroma(y, sr, spec.n_fft, spec.hop_length, spec.win_length, 48),
+    "stft": lambda how: lambda y: spectral.stft(y, how.size, how.step, how.window, how.centred),
+    "mel": lambda how: lambda y: spectral.mel(y, how.rate, how.size, how.step, how.window, how.bands, how.centred),
+    "mfcc": lambda how: lambda y: spectral.mfcc(y, RATE),
+    "chroma": lambda how: lambda y: spectral.chroma(y, how.rate, how.size, how.step, how.window, PITCHES, how.centred, None),
 }
+# Fixed value: pitch classes of the chroma kind.
+PITCHES = 48
 
 
-def feature(kind: str, spec, feature_sr: int = 22050):
+def feature(kind: str, how: Spectrum = Spectrum()):
     """The UDF of a feature kind: ARRAY to STRUCT<shape, dtype, re, im>."""
     if kind not in KINDS:
         raise ValueError(f"unknown feature kind {kind!r}; known are {', '.join(sorted(KINDS))}")
-    return _features(KINDS[kind](spec, feature_sr))
+    return _features(KINDS[kind](how))
 
 
 def framed_power(n_fft: int, hop: int):

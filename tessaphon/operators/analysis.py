@@ -10,7 +10,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def one_shape(df: DataFrame, column: str, shape: str | None = None) -> None:
+    """An error unless all features have one shape (a column, or the size of their values): only such can be compared."""
+    found = df.select((F.col(shape) if shape else F.size(column)).alias("shape")).distinct().limit(2).collect()
+    if len(found) > 1:
+        raise ValueError(f"features of several shapes: {', '.join(str(r['shape']) for r in found)}")
+
+
 def with_vector(df: DataFrame, column: str) -> DataFrame:
+    one_shape(df, column, "shape" if "shape" in df.columns else None)
     return df.withColumn("features", array_to_vector(F.col(column).cast("array<double>")))
 
 
@@ -30,6 +38,13 @@ def nearest_centroid(df: DataFrame, column: str, centroids: list[list[float]]) -
     return df.withColumn("cluster", (F.array_position(all_, F.array_min(all_)) - 1).cast("int"))
 
 
+def lloyd_step(df: DataFrame, column: str, centroids: list[list[float]]) -> DataFrame:
+    """cluster, n, centroid: the means of the rows nearest to each given centroid, summed where the rows are."""
+    dealt = nearest_centroid(df, column, centroids).select("cluster", F.posexplode(column).alias("k", "v"))
+    means = dealt.groupBy("cluster", "k").agg(F.avg(F.col("v").cast("double")).alias("v"), F.count("*").alias("n"))
+    return means.groupBy("cluster").agg(F.max("n").alias("n"), F.sort_array(F.collect_list(F.struct("k", "v"))).alias("c")).select("cluster", "n", F.col("c.v").alias("centroid"))
+
+
 def components(df: DataFrame, column: str, k: int = 3) -> DataFrame:
     """df with pc1..pck, centred; the largest loading of each component is positive."""
     data = with_vector(df, column)

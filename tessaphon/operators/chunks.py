@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.arrays import cut_chunks
+from ..functions.arrays import chunk_count, cut_chunks
 from ..functions.hashing import draw
 
 
@@ -13,21 +13,14 @@ def chunk(recordings: DataFrame, seconds: float, keep_tail: bool = False) -> Dat
     """file_name, sr, y to one row for each chunk: + chunk_idx, y."""
     if seconds <= 0:
         raise ZeroDivisionError("chunk size must be positive")
-    rates = [r["sr"] for r in recordings.select("sr").distinct().collect()]
-    out = None
-    for sr in rates:  # a slice's size is a constant for each rate
-        size = int(round(sr * seconds))
-        part = recordings.filter(F.col("sr") == sr)
-        part = part.select(*[c for c in part.columns if c != "y"], F.posexplode(cut_chunks(F.col("y"), size, keep_tail)).alias("chunk_idx", "y"))
-        out = part if out is None else out.unionByName(part)
-    return recordings.withColumn("chunk_idx", F.lit(0)).limit(0) if out is None else out
+    kept = [c for c in recordings.columns if c != "y"]
+    return recordings.select(*kept, F.posexplode(cut_chunks(F.col("y"), F.col("sr"), seconds, keep_tail)).alias("chunk_idx", "y"))
 
 
 def file_totals(recordings: DataFrame, seconds: float, keep_tail: bool = False) -> DataFrame:
     """file_name, total_duration_sec, num_chunks: files without a chunk stay."""
     duration = F.size("y") / F.col("sr").cast("double")
-    count = F.ceil(duration / seconds) if keep_tail else F.floor(duration / seconds)
-    return recordings.select("file_name", duration.alias("total_duration_sec"), count.cast("int").alias("num_chunks"))
+    return recordings.select("file_name", duration.alias("total_duration_sec"), chunk_count(F.size("y"), F.col("sr"), seconds, keep_tail).alias("num_chunks"))
 
 
 def summary(totals: DataFrame) -> DataFrame:

@@ -14,15 +14,17 @@ def aligned_pairs(a: DataFrame, b: DataFrame, percent: float, key: str, seed: in
     """Rows of both tables at the same position, an exact sample of int(n * percent) of them: i, rk, a, b.
 
     start=1 leaves position 0 out and takes floor(n * percent) of the others.
+    Each table is counted once, by its key; tables that are costly to make are best staged before.
     """
-    left = with_position(a.select(key, "y"), [], key).select("i", F.col("y").alias("a"))
-    right = with_position(b.select(key, "y"), [], key).select("i", F.col("y").alias("b"))
-    n = min(a.count(), b.count())
+    n_a, n_b = a.select(key).count(), b.select(key).count()
+    left = with_position(a.select(key, "y"), [], key, n=n_a).select("i", F.col("y").alias("a"))
+    right = with_position(b.select(key, "y"), [], key, n=n_b).select("i", F.col("y").alias("b"))
+    n = min(n_a, n_b)
     k = int(n * percent)
     if k > max(0, n - start):
         raise ValueError("sample larger than population")
     pairs = left.join(right, "i").filter(F.col("i") >= start)
-    return sample_rank(pairs, seed, "aligned", "i").filter(F.col("rk") <= k)
+    return sample_rank(pairs, seed, "aligned", "i", n=n).filter(F.col("rk") <= k)
 
 
 def mix_aligned_subset(a: DataFrame, b: DataFrame, percent: float, key: str, seed: int = 0, start: int = 0) -> DataFrame:
@@ -32,10 +34,10 @@ def mix_aligned_subset(a: DataFrame, b: DataFrame, percent: float, key: str, see
 
 def mix_random_background(fg: DataFrame, bg: DataFrame, key: str, seed: int = 0) -> DataFrame:
     """Each foreground row with one random background row: fg key, bg key, y."""
-    n = bg.count()
+    n = bg.select(key).count()
     if n == 0:
         raise ValueError("background is empty")
-    right = with_position(bg.select(key, "y"), [], key).select(F.col("i").alias("bg_i"), F.col(key).alias("bg"), F.col("y").alias("b"))
+    right = with_position(bg.select(key, "y"), [], key, n=n).select(F.col("i").alias("bg_i"), F.col(key).alias("bg"), F.col("y").alias("b"))
     left = fg.select(F.col(key).alias("fg"), F.col("y").alias("a"), draw(seed, "background", 0, n, key).alias("bg_i"))
     # No hint: the planner broadcasts a small background and shuffles a large one.
     return left.join(right, "bg_i").select("fg", "bg", average(F.col("a"), F.col("b")).alias("y"))
@@ -53,5 +55,12 @@ def mix_mels(a: DataFrame, b: DataFrame, percent: float, key: str, seed: int = 0
     from ..kernels.udfs import mel_to_audio
 
     back = mel_to_audio(sr=sr, n_fft=n_fft, hop_length=hop_length, seed=seed)
-    sound = lambda t: t.select(key, back(F.col("y"), F.col("shape")).alias("y"))
-    return mix_aligned_subset(sound(a), sound(b), percent, key, seed, start)
+    # Turned back into sound only after the pairs are chosen.
+    n = min(a.select(key).count(), b.select(key).count())
+    packed = lambda t: t.select(key, F.struct("y", "shape").alias("y"))
+    pairs = aligned_pairs(packed(a), packed(b), percent, key, seed, start) if n else None
+    if pairs is None:
+        return a.select(F.lit(0).cast("long").alias("i"), F.lit(0).cast("long").alias("rk"), F.col("y").cast("array<float>").alias("y")).limit(0)
+    sound = lambda c: back(F.col(c)["y"], F.col(c)["shape"])
+    sounds = pairs.select("i", "rk", sound("a").alias("a"), sound("b").alias("b"))
+    return sounds.select("i", "rk", average(F.col("a"), F.col("b")).alias("y"))

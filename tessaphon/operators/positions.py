@@ -6,18 +6,20 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import digest
+from ..sources.staging import staged
 
 #: Rows that one window orders.
 TOGETHER = 200_000
 
 
-def with_position(df: DataFrame, by: list[str], order: str, out: str = "i", then: tuple[str, ...] = ()) -> DataFrame:
+def with_position(df: DataFrame, by: list[str], order: str, out: str = "i", then: tuple[str, ...] = (), n: int | None = None) -> DataFrame:
     """Number the rows of each group from 0, by a numeric column (ties by ``then``).
 
     Rows are ordered within ranges of the column whose bounds are quantiles;
-    a range's rows start after those of the ranges before it.
+    a range's rows start after those of the ranges before it.  ``n``: the number
+    of rows, if it is known.
     """
-    n = df.count()
+    n = df.select(order).count() if n is None else n
     ranges = max(1, -(-n // TOGETHER))
     if ranges == 1:
         bucket = F.lit(0)
@@ -42,12 +44,22 @@ def _below(value, bounds, low: int, high: int):
     return F.when(value > bounds[middle], _below(value, bounds, middle + 1, high)).otherwise(_below(value, bounds, low, middle))
 
 
-def sample_rank(df: DataFrame, seed: int, purpose: str, key: str, out: str = "rk") -> DataFrame:
+def with_place(df: DataFrame, text: str, out: str) -> DataFrame:
+    """Number the rows from 0 by a column of text: sorted in ranges, which are written, and then numbered one by one."""
+    ranged = staged(df.repartitionByRange(text).withColumn("_range", F.spark_partition_id()), "ranges")
+    before = Window.partitionBy(F.lit(0)).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    # One row for each range.
+    ahead = ranged.groupBy("_range").agg(F.count("*").alias("_n")).select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_ahead"))
+    numbered = ranged.withColumn("_k", F.row_number().over(Window.partitionBy("_range").orderBy(text)) - 1)
+    return numbered.join(F.broadcast(ahead), "_range").withColumn(out, F.col("_ahead") + F.col("_k")).drop("_k", "_ahead", "_range")
+
+
+def sample_rank(df: DataFrame, seed: int, purpose: str, key: str, out: str = "rk", n: int | None = None) -> DataFrame:
     """Rank the rows in a random order from 1: the first k are an exact sample of k.
 
     Rows are ordered within slices of the digest, and start after the slices before.
     """
-    slices = max(1, -(-df.count() // TOGETHER))
+    slices = max(1, -(-(df.select(key).count() if n is None else n) // TOGETHER))
     dealt = df.withColumn("_d", digest(seed, purpose, key))
     dealt = dealt.withColumn("_s", F.floor(F.conv(F.substring("_d", 1, 8), 16, 10).cast("double") * slices / float(1 << 32)).cast("int"))
     ranked = dealt.withColumn("_k", F.row_number().over(Window.partitionBy("_s").orderBy("_d", key)))

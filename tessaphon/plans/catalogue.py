@@ -12,16 +12,19 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..config import Decoding
 from ..functions import arrays, names
 from ..functions.hashing import digest
 from ..kernels import spectral, udfs
 from ..operators import analysis, chunks, mixing, phonemes
 from ..operators.positions import with_position
-from ..sources import textgrid
+from ..sources import archives, audio, textgrid
+from ..sources.staging import folder_of
 
 SEED, RATE, SECONDS = 7, 2, 2.0
 N_FFT, HOP, MELS, COEFFICIENTS, PITCHES, TOY_SR = 32, 16, 8, 5, 12, 64
 PHONES = ("<p:>", "?", "h\\", "a:", "S")
+WAV_RATE = 8000
 
 
 def _read(spark, sf_dir, table):
@@ -195,6 +198,42 @@ def cluster_subset(spark, sf_dir):
     return kmeans_assign(spark, sf_dir).filter(F.col("cluster") == 0).select("vec_id")
 
 
+def kmeans_step(spark, sf_dir):
+    e = _read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    first = [list(r["embedding"]) for r in e.filter("vec_id < 6").orderBy("vec_id").collect()]
+    step = analysis.lloyd_step(e, "embedding", first).withColumnRenamed("centroid", "y")
+    return _exploded(step, 1e5, "cluster", "n")
+
+
+def wav_files(spark, sf_dir):
+    """Recordings written as WAV files and read again by the folder source."""
+    folder = folder_of(spark, "wavs")
+    r = _recordings(spark, sf_dir).select("file_name", F.transform("y", lambda v: F.least(v.cast("double"), F.lit(1000.0)) / 1000).alias("y"))
+    archives.dump_wavs(r, folder, F.concat(F.lit("user."), F.lpad(F.col("file_name").cast("string"), 9, "0")), WAV_RATE)
+    back = audio.recordings(audio.ordered(audio.audio_files(spark, folder)), Decoding(rate=None))
+    user = F.regexp_extract("file_name", r"(\d+)\.wav$", 1).cast("long").alias("user_id")
+    found = back.select(user, F.col("file_ord").cast("long").alias("file_ord"), "sr", F.posexplode("y").alias("k", "v"))
+    return found.select("user_id", "file_ord", "sr", "k", F.round(F.col("v").cast("double") * 32768).cast("long").alias("v"))
+
+
+def npz_archives(spark, sf_dir):
+    """Features written as one archive for each class and read again."""
+    folder = folder_of(spark, "npz")
+    e = _read(spark, sf_dir, "embeddings")
+    rows = e.select(F.col("label").cast("string").alias("label"), F.col("vec_id").alias("arr_idx"), F.array(F.lit(8), F.lit(8)).alias("shape"), F.lit("float32").alias("dtype"), F.col("embedding").alias("re"), F.lit(None).cast("array<float>").alias("im"))
+    archives.write_npz(rows, folder).count()
+    back = archives.read_npz(spark, folder)
+    return _exploded(back.select(F.col("label").cast("int").alias("label"), "arr_idx", F.element_at("shape", 2).alias("width"), F.col("re").alias("y")), 1e5, "label", "arr_idx", "width")
+
+
+def feature_table(spark, sf_dir):
+    """Phones written as a feature table by safe name, and read again."""
+    folder = folder_of(spark, "features")
+    phone = F.element_at(F.array(*map(F.lit, (*PHONES, ""))), (F.pmod("event_id", F.lit(len(PHONES) + 1)) + 1).cast("int"))
+    archives.write_features(_read(spark, sf_dir, "events").select(phone.alias("label"), "event_id"), folder)
+    return archives.read_features(spark, folder).groupBy("label", "safe_name").agg(F.count("*").alias("n"), F.sum("event_id").alias("total"))
+
+
 def kmeans_fit(spark, sf_dir):
     return analysis.clusters(_read(spark, sf_dir, "embeddings").select("vec_id", "embedding"), "embedding", 6, SEED).select("vec_id", "cluster")
 
@@ -248,6 +287,7 @@ def queries() -> dict:
         "stft_magnitude": stft_magnitude, "mel_power": _kernel(_mel, 1e4), "mfcc": _kernel(_mfcc, 1e3), "chroma": _kernel(_chroma, 1e4),
         "already_done_anti": already_done_anti, "class_distinct": class_distinct, "flatten_union": flatten_union,
         "first_three_files": first_three_files, "shuffle_paired": shuffle_paired, "kmeans_assign": kmeans_assign, "cluster_subset": cluster_subset,
+        "kmeans_step": kmeans_step, "wav_files": wav_files, "npz_archives": npz_archives, "feature_table": feature_table,
         "kmeans_fit": kmeans_fit, "analysis_frame": analysis_frame, "pca_project": pca_project, "pitch_shift": pitch_shift,
         "time_stretch": time_stretch, "constant_timeframe": constant_timeframe, "mel_to_audio_mix": mel_to_audio_mix,
     }
@@ -306,6 +346,8 @@ q AS (SELECT *, greatest(least(floor(place)::BIGINT, n - 2), 0) AS lo FROM p)
 SELECT q.user_id, q.j::INTEGER AS k, {_int("a.v + (place - lo) * (coalesce(b.v, a.v) - a.v)", 1e3)} AS v FROM q JOIN r a ON a.user_id = q.user_id AND a.k = q.lo LEFT JOIN r b ON b.user_id = q.user_id AND b.k = q.lo + 1"""
 
     values = "CASE event_id % 5 " + " ".join(f"WHEN {k} THEN '{names.SAFE_NAMES.get(p, p)}'" for k, p in enumerate(PHONES)) + " END"
+    named = lambda of: f"CASE event_id % {len(PHONES) + 1} " + " ".join(f"WHEN {k} THEN '{of(p)}'" for k, p in enumerate((*PHONES, ""))) + " END"
+    labels, safe = named(str), named(lambda p: names.SAFE_NAMES.get(p, p))
     flat_bins = f"(f * {{w}} + {{j}})::INTEGER AS k"
     log = "10 * log10(greatest(v, 1e-10::DOUBLE))"
     dct = [(i, j, float(x)) for i, row in enumerate(spectral.dct_matrix(COEFFICIENTS, MELS)) for j, x in enumerate(row)]
@@ -345,6 +387,15 @@ SELECT vec_id, {flat_bins.format(w=PITCHES, j='j')}, {_int('v / CASE WHEN top >
         "shuffle_paired": f"SELECT vec_id, label, row_number() OVER (ORDER BY {_md5('shuffle', 'vec_id')}, vec_id) AS place FROM embeddings",
         "kmeans_assign": f"WITH {assigned} SELECT vec_id, cl::INTEGER AS cluster FROM d WHERE k = 1",
         "cluster_subset": f"WITH {assigned} SELECT vec_id FROM d WHERE k = 1 AND cl = 0",
+        "kmeans_step": f"""WITH {assigned}, m AS (SELECT cl, unnest(range(len(embedding)))::INTEGER AS k, unnest(embedding)::DOUBLE AS v FROM d JOIN embeddings USING (vec_id) WHERE d.k = 1)
+SELECT cl::INTEGER AS cluster, count(*) AS n, k, {_int('avg(v)', 1e5)} AS v FROM m GROUP BY cl, k""",
+        "constant_timeframe": "SELECT vec_id, round(len(embedding) / (0.75::DOUBLE * len(embedding) / 22050))::BIGINT AS n FROM embeddings",
+        "wav_files": f"""WITH {rec}, o AS (SELECT user_id, row_number() OVER (ORDER BY lpad(user_id::VARCHAR, 9, '0')) - 1 AS file_ord FROM (SELECT DISTINCT user_id FROM events))
+SELECT user_id, file_ord, {WAV_RATE}::INTEGER AS sr, k::INTEGER AS k, round_even(least(v, 1000::DOUBLE) / 1000 * 32767, 0)::BIGINT AS v FROM r JOIN o USING (user_id)""",
+        "npz_archives": f"""WITH a AS (SELECT label, row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS arr_idx, embedding FROM embeddings),
+u AS (SELECT label, arr_idx, unnest(range(len(embedding))) AS k, unnest(embedding)::DOUBLE AS v FROM a)
+SELECT label::INTEGER AS label, arr_idx::INTEGER AS arr_idx, 8::INTEGER AS width, k::INTEGER AS k, {_int('v', 1e5)} AS v FROM u""",
+        "feature_table": f"SELECT label, CASE WHEN label = '' THEN '_empty' ELSE safe END AS safe_name, count(*) AS n, sum(event_id)::BIGINT AS total FROM (SELECT event_id, {labels} AS label, {safe} AS safe FROM events) GROUP BY ALL",
     }
 
 

@@ -85,3 +85,8 @@ def write_wavs(sounds: DataFrame, folder: str, name, sr: int) -> DataFrame:
         return pd.DataFrame(out, columns=["path", "n_bytes"])
 
     return sounds.select(write(name, F.col("y")).alias("w")).select("w.*")
+
+
+def dump_wavs(sounds: DataFrame, folder: str, name, sr: int) -> int:
+    """write_wavs, now; how many files."""
+    return write_wavs(sounds, folder, name, sr).agg(F.count("path")).first()[0]

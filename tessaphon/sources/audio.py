@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import AudioConfig
+from ..config import Decoding
 from ..functions.names import AUDIO_SUFFIXES, base_name, suffix
+from .staging import staged
 
 
 def audio_files(spark: SparkSession, folder: str, filter_ext: bool = True) -> DataFrame:
@@ -20,29 +21,30 @@ def audio_files(spark: SparkSession, folder: str, filter_ext: bool = True) -> Da
 
 
 def ordered(files: DataFrame) -> DataFrame:
-    """With file_ord: the place in the order of paths (metadata only)."""
-    order = files.select("path").withColumn("file_ord", F.row_number().over(Window.orderBy("path")) - 1)
-    return files.join(order, "path")
+    """With file_ord: the place in the order of paths, which is found from the paths alone."""
+    from ..operators.positions import with_place
 
+    return files.join(staged(with_place(files.select("path"), "path", "file_ord"), "order"), "path")
 
-def decoder(config: AudioConfig, offset_sec: float = 0.0, duration_sec: float | None = None):
+
+def decoder(how: Decoding = Decoding()):
     @F.pandas_udf("sr int, sr_native int, n_native long, shape array<int>, y array<float>")
     def decode(contents: pd.Series, suffixes: pd.Series) -> pd.DataFrame:
         from ..kernels.files import load
 
         out = []
         for content, name in zip(contents, suffixes, strict=True):
-            sr, native, n, y = load(content, name, config.sample_rate, config.mono, offset_sec, duration_sec)
+            sr, native, n, y = load(content, name, how.rate, how.mixed, how.start, how.seconds)
             out.append((sr, native, n, list(y.shape) if len(y) > 1 else [y.shape[1]], y.ravel()))
         return pd.DataFrame(out, columns=["sr", "sr_native", "n_native", "shape", "y"])
 
     return decode
 
 
-def recordings(files: DataFrame, config: AudioConfig = AudioConfig(), offset_sec: float = 0.0, duration_sec: float | None = None) -> DataFrame:
+def recordings(files: DataFrame, how: Decoding = Decoding()) -> DataFrame:
     """Decoded files: the columns of files but content, and sr, sr_native, n_native, shape, y."""
     kept = [c for c in files.columns if c != "content"]
-    return files.withColumn("d", decoder(config, offset_sec, duration_sec)("content", "suffix")).select(*kept, "d.*")
+    return files.withColumn("d", decoder(how)("content", "suffix")).select(*kept, "d.*")
 
 
 def duration(y, sr):

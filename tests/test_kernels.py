@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pytest
 from tessaphon.kernels import files, spectral
@@ -74,3 +76,50 @@ def test_wav_and_npz_round_trip():
 def test_no_decoder():
     with pytest.raises(ValueError, match="no decoder for .mp3"):
         files.load(b"", ".mp3", 22050, True)
+
+
+def test_aiff():
+    import struct
+
+    y = tone(seconds=0.1, sr=8000)
+    whole = np.round(y * 32767).astype(int)
+    rate = struct.pack(">HQ", 16383 + 12, 8000 << (63 - 12))
+    for bits, coding, data in ((16, None, whole.astype(">i2").tobytes()), (16, b"sowt", whole.astype("<i2").tobytes()), (24, None, b"".join(int(v * 256).to_bytes(3, "big", signed=True) for v in whole))):
+        comm = struct.pack(">hIh", 1, len(y), bits) + rate + (coding + b"\0\0" if coding else b"")
+        chunks = [(b"COMM", comm), (b"JUNK", b"abc\0"), (b"SSND", bytes(8) + data)]
+        body = b"".join(k + struct.pack(">I", len(d)) + d for k, d in chunks)
+        content = b"FORM" + struct.pack(">I", len(body) + 4) + (b"AIFC" if coding else b"AIFF") + body
+        got, back = files.DECODERS[".aiff"](content)
+        assert got == 8000 and back.shape == (1, 800) and np.abs(back[0] - y).max() < 1e-3
+    with pytest.raises(ValueError, match="not an AIFF"):
+        files.decode_aiff(b"RIFF" + bytes(20))
+
+
+def test_tuning():
+    for off in (-0.3, 0.0, 0.2):
+        power = np.abs(spectral.stft(tone(440 * 2 ** (off / 12)) + tone(660 * 2 ** (off / 12) * 2 ** (7 / 12) / 1.5))) ** 2
+        assert abs(spectral.tuning_of(power, 22050) - off) < 0.06
+    assert spectral.tuning_of(np.zeros((1025, 4)), 22050) == 0.0
+    sharp = tone(440 * 2 ** (0.4 / 12))
+    assert spectral.chroma(sharp, n_chroma=12, tuning=None)[9].mean() > spectral.chroma(sharp, n_chroma=12)[9].mean() - 1e-9
+
+
+def test_banks_against_their_definitions():
+    # Mel bands, the DCT and a band's frequencies by the published formulas, point by point.
+    def hz(m):
+        return m * 200 / 3 if m < 15 else 1000 * math.exp((m - 15) * math.log(6.4) / 27)
+
+    sr, n_fft, n = 64, 32, 8
+    top = (sr / 2) * 3 / 200
+    edges = [hz(top * k / (n + 1)) for k in range(n + 2)]
+    bank = spectral.mel_bank(sr, n_fft, n)
+    for j in range(n):
+        for b in range(n_fft // 2 + 1):
+            f = b * sr / n_fft
+            left, middle, right = edges[j : j + 3]
+            height = max(0.0, min((f - left) / (middle - left), (right - f) / (right - middle)))
+            assert bank[j, b] == pytest.approx(height * 2 / (right - left), abs=1e-12)
+    dct = spectral.dct_matrix(5, 8)
+    for k in range(5):
+        for j in range(8):
+            assert dct[k, j] == pytest.approx(math.cos(math.pi * k * (j + 0.5) / 8) * math.sqrt((1 if k == 0 else 2) / 8))

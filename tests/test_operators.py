@@ -1,3 +1,5 @@
+import math
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -123,3 +125,27 @@ def test_textgrid_strict(spark):
     with pytest.raises(Exception, match="differ in number"):
         textgrid.phone_intervals(lines, "strict").collect()
     assert textgrid.phone_intervals(lines).count() == 0
+
+
+def test_chunks_of_no_whole_number_of_samples(spark):
+    r = spark.createDataFrame([("a", 3, [float(k) for k in range(10)])], "file_name string, sr int, y array<float>")
+    # 1.5 samples a chunk: six chunks, as file_totals says, that start at 0, 1.5, 3 and so on, to the nearest even.
+    assert [x.y[0] for x in chunks.chunk(r, 0.5).orderBy("chunk_idx").collect()] == [0.0, 2.0, 3.0, 4.0, 6.0, 8.0]
+    assert chunks.file_totals(r, 0.5).first().num_chunks == 6
+
+
+def test_places(spark):
+    df = spark.createDataFrame([(f"{k % 7}-{k}",) for k in range(50)], "path string").repartition(5)
+    out = positions.with_place(df, "path", "n").orderBy("n").collect()
+    assert [x.n for x in out] == list(range(50)) and [x.path for x in out] == sorted(x.path for x in out)
+
+
+def test_file_names(spark):
+    f = spark.createDataFrame([("x [abc].opus",), ("abc.opus.part",), ("abc.wav",), ("a.b.WAV",)], "f string")
+    got = [tuple(x) for x in f.select(names.download_of(F.col("f"), "abc"), names.is_wav(F.col("f")), names.stem(F.col("f"))).collect()]
+    assert got == [(True, False, "x [abc]"), (True, False, "abc.opus"), (False, True, "abc"), (False, False, "a.b")]
+
+
+def test_tone(spark):
+    y = spark.range(1).select(arrays.tone(220.0, 0.5, 8000).alias("y")).first().y
+    assert len(y) == 4000 and abs(y[9] - 0.5 * math.sin(2 * math.pi * 220 * 9 / 8000)) < 1e-6
