@@ -167,7 +167,7 @@ def _sides(table):
 
 
 def _prune(batches):
-    """tile, side, key, sig: the rows that have a pair left after pruning."""
+    """tile, side, node, sig: the rows that have a pair left after pruning."""
     least = least_matches(THRESHOLD, TOLERANCE)
     for table in _by_tile(batches):
         left, right = _sides(table)
@@ -180,7 +180,7 @@ def _prune(batches):
             i, j, matches = i[stay], j[stay], matches[stay]
         if len(i):
             stay = np.unique(np.concatenate([i, j]))
-            yield from table.select(["tile", "side", "key"]).take(stay).to_batches()
+            yield from table.select(["tile", "side", "node"]).take(stay).to_batches()
 
 
 def overlaps(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -261,34 +261,37 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     """
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = cut(profiles(docs, id_col, text_col), "jaccard-profiles")
+    profiled = cut(profiles(docs, id_col, text_col), "jaccard-profiles")
     own = F.col("id").isNotNull() & F.col("key").isNotNull()
+    rows = cut(profiled.select("id", "key"), "jaccard-rows")
     copies = cut(rows.filter(own).groupBy("key").agg(F.min("id").alias("first"), F.count("*").alias("copies")), "jaccard-copies")
-    nodes = rows.filter(own).join(copies, (rows["key"] == copies["key"]) & (rows["id"] == copies["first"])).select(rows["key"], "bands").dropDuplicates(["key"])
-    posted = nodes.select(F.explode("bands").alias("band"), "key")
-    several = posted.groupBy("band").agg(F.count("*").alias("c")).filter("c > 1")
-    posts = cut(posted.join(several.select("band"), "band"), "jaccard-posts")
-    hashed = F.xxhash64("key")
-    lowest = posts.groupBy("band").agg(F.min(hashed).alias("low"))
-    labels = posts.join(lowest, "band").groupBy("key").agg(F.min("low").alias("label"))
-    labels = cut(labels, "jaccard-labels")
+    # Nodes go by 64 bits of their key until sets are compared; two of equal bits only meet once more.
+    node = F.xxhash64("key").alias("node")
+    profile = lambda what: profiled.filter(own).select(node, what).dropDuplicates(["node", what])
+    posted = profile("bands").select(F.explode("bands").alias("band"), "node")
+    several = posted.groupBy("band").agg(F.count("*").alias("c"), F.min("node").alias("low")).filter("c > 1").select("band", "low")
+    posts = cut(posted.join(several, "band"), "jaccard-posts")
+    labels = cut(posts.groupBy("node").agg(F.min("low").alias("label")), "jaccard-labels")
     sizes = labels.groupBy("label").agg(F.count("*").alias("size"))
-    blocks = cut(labels.join(sizes, "label").select("key", F.xxhash64("label", F.pmod(F.xxhash64(F.lit("block"), "key"), F.ceil(F.col("size") / BLOCK))).alias("block")), "jaccard-blocks")
-    held = cut(posts.join(blocks, "key").select("band", "block").distinct(), "jaccard-bands")
+    blocks = cut(labels.join(sizes, "label").select("node", F.xxhash64("label", F.pmod(F.xxhash64(F.lit("block"), "node"), F.ceil(F.col("size") / BLOCK))).alias("block")), "jaccard-blocks")
+    held = cut(posts.join(blocks, "node").select("band", "block").distinct(), "jaccard-bands")
+    forget(posts, labels)
     tiles = held.select("band", F.col("block").alias("b1")).join(held.select("band", F.col("block").alias("b2")), "band").filter("b1 <= b2").select("b1", "b2").distinct()
     tiles = cut(tiles.select("b1", "b2", F.xxhash64("b1", "b2").alias("tile")), "jaccard-tiles")
+    forget(held)
     first = tiles.select("tile", F.col("b1").alias("block"), F.lit(1).alias("side"))
     second = tiles.filter("b1 <> b2").select("tile", F.col("b2").alias("block"), F.lit(2).alias("side"))
-    members = first.unionByName(second).join(blocks, "block").select("tile", "side", "key")
-    signed = rows.filter(own).join(copies, (rows["key"] == copies["key"]) & (rows["id"] == copies["first"])).select(rows["key"], "sig").dropDuplicates(["key"])
-    tiled = members.join(signed, "key").select("tile", "side", "key", "sig").repartition(parts, "tile").sortWithinPartitions("tile")
-    left = cut(tiled.mapInArrow(_prune, "tile long, side int, key string"), "jaccard-left")
-    wanted = cut(left.select("key").distinct().join(copies, "key").select("first", F.col("key").alias("wanted"), "copies"), "jaccard-wanted")
+    members = first.unionByName(second).join(blocks, "block").select("tile", "side", "node")
+    tiled = members.join(profile("sig"), "node").select("tile", "side", "node", "sig").repartition(parts, "tile").sortWithinPartitions("tile")
+    left = cut(tiled.mapInArrow(_prune, "tile long, side int, node long"), "jaccard-left")
+    forget(profiled, tiles, blocks)
+    wanted = cut(left.select("node").distinct().join(copies.select(node, "key", "first", "copies"), "node").select("node", "first", F.col("key").alias("wanted"), "copies"), "jaccard-wanted")
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     texts = join_checked(base, wanted, F.col("id") == F.col("first"), "left_semi")
-    sets = shingle_sets(texts, "id", "text").join(wanted, (F.col("key") == F.col("wanted")) & (F.col("id") == F.col("first"))).select("key", "copies", "set").dropDuplicates(["key"])
-    full = left.join(sets, "key").select("tile", "side", "key", "copies", "set").repartition(parts, "tile").sortWithinPartitions("tile")
+    sets = shingle_sets(texts, "id", "text").join(wanted, (F.col("key") == F.col("wanted")) & (F.col("id") == F.col("first"))).select("node", "key", "copies", "set").dropDuplicates(["key"])
+    full = left.distinct().join(sets, "node").select("tile", "side", "key", "copies", "set").repartition(parts, "tile").sortWithinPartitions("tile")
     found = cut(full.mapInArrow(_verify, "key string, root string, texts long, docs long"), "jaccard-links")
+    forget(left, wanted)
     links = found.groupBy("key").agg(F.sum("docs").alias("links"))
     classes = components(found.select("key", "root")).join(copies.select("key", "first"), "key")
     least = classes.groupBy("label").agg(F.min("first").alias("class"))
