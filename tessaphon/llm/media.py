@@ -6,12 +6,15 @@ about 32 MB and gets its name only when it is complete, so a task that is run
 again puts the same file in the same place.
 
 ``MediaSource`` is a Python data source ("tessaphon_media").  Its planner only
-lists archives and their sizes and deals out byte ranges; a range owns the
+lists archives and their sizes, compares them with the manifest that ``store``
+wrote, and deals out byte ranges; a range owns the
 members whose headers begin inside it, which its task finds in the archive's
 own directory.  Members stream out in Arrow batches of bounded size.  A member
 that can't be read (an error of the store, a wrong checksum) is read again by
 its offset, alone, without the others; after the last attempt the task fails,
-or with on_error=null the row has a null and the error.
+or with on_error=null the row has a null and the error.  So it is for an archive that
+is lost, cut or has no directory: an error, or one row without key and offset.
+``features`` keeps rows with an error: their digests are null, and error tells why.
 
 Defined cases: a null or empty text is 192 spaces; the unpadded length is kept
 in the image; equal texts give equal images; a null id stays null; repeated
@@ -42,6 +45,8 @@ from .common import fresh
 WIDTH, ARCHIVE_BYTES, RANGE_BYTES, BATCH_BYTES, ATTEMPTS = 192, 32 << 20, 8 << 20, 8 << 20, 4
 # The PNG signature, and the chunk that holds the unpadded length.
 SIGNATURE, LENGTH_CHUNK = b"\x89PNG\r\n\x1a\n", b"naTv"
+#: What reading a lost, cut or changed file raises.
+BROKEN = (OSError, ValueError, EOFError, struct.error, zlib.error, zipfile.BadZipFile, NotImplementedError)
 
 
 def padded(data: bytes) -> bytes:
@@ -125,8 +130,8 @@ def store(docs: DataFrame, id_col: str, text_col: str) -> str:
 
 
 class Range(InputPartition):
-    def __init__(self, archive: str | None, start: int = 0, end: int = 0):
-        self.archive, self.start, self.end = archive, start, end
+    def __init__(self, archive: str | None, start: int = 0, end: int = 0, lost: str | None = None):
+        self.archive, self.start, self.end, self.lost = archive, start, end, lost
 
 
 class MediaReader(DataSourceReader):
@@ -137,14 +142,30 @@ class MediaReader(DataSourceReader):
         self.on_error = options.get("on_error", "fail")
 
     def partitions(self):
+        """Byte ranges of the archives in the manifest, as it lists them: one that isn't there, or has another size, is an error."""
         fs, where = pafs.FileSystem.from_uri(self.folder)
-        found = []
-        for info in fs.get_file_info(pafs.FileSelector(where, allow_not_found=True)):
-            if info.is_file and info.base_name.endswith(".zip") and info.base_name[0] != ".":
-                for start in range(0, info.size, self.range_bytes):
-                    found.append(Range(info.path, start, start + self.range_bytes))
+        there = {i.base_name: i for i in fs.get_file_info(pafs.FileSelector(where, allow_not_found=True)) if i.is_file and i.base_name.endswith(".zip") and i.base_name[0] != "."}
+        listed = self.manifest()
+        lost = sorted(name for name, size in listed.items() if name not in there or there[name].size != size) if listed is not None else []
+        if lost and self.on_error != "null":
+            raise FileNotFoundError(f"{len(lost)} archives of the manifest are missing or have another size, the first: {lost[0]}")
+        found = [Range(None, lost=name) for name in lost]
+        for name in sorted(there if listed is None else listed.keys() - set(lost)):
+            for start in range(0, there[name].size, self.range_bytes):
+                found.append(Range(there[name].path, start, start + self.range_bytes))
         return found or [Range(None)]
 
+    def manifest(self) -> dict[str, int] | None:
+        """Archives and their sizes, as they were stored; None where a folder has no manifest."""
+        import pyarrow.parquet as pq
+
+        fs, where = pafs.FileSystem.from_uri(self.folder.rstrip("/").rpartition("/")[0] + "/manifest")
+        files = [i.path for i in fs.get_file_info(pafs.FileSelector(where, allow_not_found=True)) if i.is_file and i.base_name.endswith(".parquet")]
+        if not files:
+            return None
+        held = [pq.read_table(f, filesystem=fs, columns=["archive", "n_bytes"]).to_pydict() for f in files]
+        return {name: size for t in held for name, size in zip(t["archive"], t["n_bytes"], strict=True)}
+
     def open(self, archive: str):
         fs, _ = pafs.FileSystem.from_uri(self.folder)
         return fs.open_input_file(archive)
@@ -174,30 +195,42 @@ class MediaReader(DataSourceReader):
         for k in range(self.attempts):
             try:
                 return what()
-            except (OSError, ValueError, zipfile.BadZipFile):
+            except BROKEN:
                 if k + 1 == self.attempts:
                     raise
                 time.sleep(0.05 * 2**k)
 
     def read(self, partition):
         if partition.archive is None:
+            if partition.lost is not None:
+                yield self.batch([(None, partition.lost, None, None, "the archive is missing or has another size")])
             return
         name = partition.archive.rpartition("/")[2]
         rows, held = [], 0
-        with self.open(partition.archive) as file:
-            for info in self.directory(partition.archive):
+        try:
+            members = self.directory(partition.archive)
+        except BROKEN as failed:
+            if self.on_error != "null":
+                raise
+            if partition.start == 0:
+                yield self.batch([(None, name, None, None, str(failed) or type(failed).__name__)])
+            return
+        with contextlib.ExitStack() as stack:
+            file = None
+            for info in members:
                 if not partition.start <= info.header_offset < partition.end:
                     continue
                 error, data = None, None
                 try:
                     try:
+                        file = file or stack.enter_context(self.open(partition.archive))
                         data = self.member(partition.archive, info, file)
-                    except (OSError, ValueError):
+                    except BROKEN:
                         data = self._again(lambda info=info: self.member(partition.archive, info))
-                except (OSError, ValueError) as failed:
+                except BROKEN as failed:
                     if self.on_error != "null":
                         raise
-                    error = str(failed)
+                    error = str(failed) or type(failed).__name__
                 key = None if info.filename == "-" else bytes.fromhex(info.filename[1:]).decode()
                 rows.append((key, name, info.header_offset, data, error))
                 held += len(data or b"")
@@ -248,20 +281,26 @@ def feature(payload: bytes) -> str:
 
 
 def features(members: DataFrame, id_type: str = "long") -> DataFrame:
-    """One row for each member: digests of payload and image, and the feature text."""
+    """One row for each member: digests of payload and image, and the feature text; where there is an error, nulls and the error."""
 
     def run(batches):
         for batch in batches:
             out = []
-            for image in batch[1]:
+            for image, error in zip(batch[1], batch[2].to_pylist(), strict=True):
                 image = image.as_py()
-                payload, n = from_png(image)
-                out.append((n, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(image), hashlib.sha256(image).hexdigest(), feature(payload)))
-            kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string())
-            columns = list(zip(*out, strict=True)) or [()] * 7
+                try:
+                    payload, n = from_png(image) if image is not None else (None, None)
+                except BROKEN as failed:
+                    payload, error = None, str(failed) or type(failed).__name__
+                if payload is None:
+                    out.append((None,) * 7 + (error or "no image",))
+                else:
+                    out.append((n, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(image), hashlib.sha256(image).hexdigest(), feature(payload), None))
+            kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string())
+            columns = list(zip(*out, strict=True)) or [()] * 8
             yield pa.RecordBatch.from_arrays([batch[0], *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], names)
 
-    names = ["id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
-    kinds = "id string, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
-    found = members.filter("media is not null").select("key", "media").mapInArrow(run, kinds)
+    names = ["id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "error"]
+    kinds = "id string, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, error string"
+    found = members.select("key", "media", "error").mapInArrow(run, kinds)
     return found.withColumn("id", F.col("id").cast(id_type))

@@ -1,8 +1,9 @@
+import random
 import textwrap
 
 import corpus_pipeline
 import numpy as np
-from tessaphon.llm import ann, licenses
+from tessaphon.llm import ann, licenses, linededup
 
 
 def test_walk_goes_on_until_no_node_is_open(spark):
@@ -70,3 +71,65 @@ def test_every_licence_rule_fires_and_every_identifier_is_used(spark):
 def test_licence_names(spark):
     texts = ["SPDX-License-Identifier: GPL-2.0-or-later", "Licensed under the GNU AGPL v3.0.", "Released under the GNU Lesser General Public License, version 2.1 or later.", "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0.", "licensed under the BSD license"]
     assert found_licenses(spark, texts) == ["GPL-2.0-or-later", "AGPL-3.0-only", "LGPL-2.1-or-later", "MPL-2.0", "BSD"]
+
+
+def _edits_of(x, n, r, letters):
+    x = list(x)
+    for _ in range(n):
+        i = r.randrange(len(x))
+        x[i : i + r.randrange(2)] = r.choice(letters) if r.random() < 0.7 else ""
+    return "".join(x)
+
+
+def _near(a, b, most=2):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        row = [i, *(min(row[j] + (x != y), row[j + 1] + 1) for j, y in enumerate(b))]
+        for j in range(1, len(row)):
+            row[j] = min(row[j], row[j - 1] + 1)
+    return row[-1] <= most
+
+
+def test_frequent_keys_against_brute_force(spark, monkeypatch):
+    r = random.Random(11)
+    lines = []
+    for letters, n, size in (("ab", 60, 22), ("abcdefgh ", 120, 40)):
+        base = "".join(r.choice(letters) for _ in range(size))
+        lines += [_edits_of(base, r.randrange(9), r, letters) for _ in range(n)]
+    lines += [f"page number {r.randrange(10 ** r.randrange(1, 7))} of {r.randrange(300)}" for _ in range(60)]
+    r.shuffle(lines)
+    monkeypatch.setattr(linededup, "FREQUENT", 6)
+    docs = [(k, "\n".join(lines[4 * k : 4 * k + 4])) for k in range(len(lines) // 4)]
+    got = {x.doc_id: x.text for x in linededup.dedup(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    seen = []
+    for k, t in docs:
+        stay = []
+        for x in t.split("\n"):
+            if len(x) < 20 or not any(abs(len(x) - len(y)) <= 2 and _near(x, y) for y in seen):
+                stay.append(x)
+            if len(x) >= 20:
+                seen.append(x)
+        assert got[k] == "\n".join(stay)
+
+
+def test_rows_of_a_large_cluster_stay_in_proportion(spark, monkeypatch):
+    r, most, cut = random.Random(5), {}, linededup.cut
+    words = ["".join(r.choice("abcdefghij") for _ in range(r.randrange(2, 9))) for _ in range(60)]
+
+    def variant():
+        own = list(words)
+        for _ in range(r.randrange(1, 6)):
+            own[r.randrange(60)] = "".join(r.choice("abcdefghij") for _ in range(r.randrange(4, 9)))
+        return " ".join(own)
+
+    def counted(df, tag):
+        out = cut(df, tag)
+        most[tag] = max(most.get(tag, 0), out.count())
+        return out
+
+    monkeypatch.setattr(linededup, "cut", counted)
+    docs = [(-1, " ".join(words)), *((k, variant()) for k in range(2000)), (2001, " ".join(words) + "x")]
+    got = {x.doc_id: x.text for x in linededup.dedup(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got[-1] == " ".join(words) and got[2001] == ""
+    # All pairs would be two million, and each of them under many keys.
+    assert max(most.values()) <= 80 * len(docs), most
