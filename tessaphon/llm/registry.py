@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from . import ann, chat, jaccard, licenses, linededup, media, packing, quality, sentencepiece_fst, sharding
 from .common import cut
 
-SHARD_BYTES = 64 << 20
+#: Small, so that the tables at hand are split several levels deep.
+SHARD_BYTES = 256 << 10
 CONTEXT, END_ID = 4096, 1
 QUERY_EVERY, NEIGHBOURS = 20, 20
 

@@ -45,7 +45,7 @@ def shard(docs: DataFrame, limit_bytes: int, key_col: str = "doc_id", text_col:
     narrow = docs.select(F.col(key_col).alias("key"), F.coalesce(F.octet_length(F.col(text_col).cast("string")), F.lit(0)).cast("long").alias("n_bytes"))
     narrow = narrow.select("key", "n_bytes", _hash(F.coalesce(F.col("key").cast("string"), F.lit("null"))).alias("h1"), F.monotonically_increasing_id().alias("row"))
     rows = cut(narrow.withColumn("h2", _hash(F.col("row").cast("string"))), "shard-rows")
-    big = rows.filter(F.col("n_bytes") > limit_bytes).select(F.col("key"), "n_bytes", F.concat(F.lit("big-"), F.col("row").cast("string")).alias("shard"), F.lit(-1).alias("depth"))
+    big = rows.filter(F.col("n_bytes") > limit_bytes).select(F.col("key"), "n_bytes", F.concat(F.lit("big-"), F.hex("h1"), F.lit("-"), F.hex("row")).alias("shard"), F.lit(-1).alias("depth"))
     todo, done, base = rows.filter(F.col("n_bytes") <= limit_bytes), [big], 0
     while True:
         total = todo.agg(F.sum("n_bytes").alias("b")).first()["b"] or 0
