@@ -1,12 +1,15 @@
 """SentencePiece encoding and decoding by weighted finite-state transduction.
 
-A model file is compiled into a chain of transducers: the normaliser (dummy
-prefix, extra spaces, spaces written as U+2581), the pieces with their weights
-(``wfst``), and byte fallback, which writes a character without a piece as the
-pieces of its UTF-8 bytes.  A text is composed with the chain word by word,
-because no piece of such a model reaches from one word into the next, and the
+A model file is compiled into transducers (``wfst``): the normaliser (dummy
+prefix, extra spaces, spaces written as U+2581), the pieces with their weights,
+and byte fallback, which reads a character's UTF-8 bytes and writes their
+pieces.  A text is composed with the normaliser, and what that writes with the
+union of pieces and fallback, word by word,
+because no piece of such a model reaches from one word into the next; the
 shortest path in the tropical semiring is the encoding.  Paths of frequent
-words are remembered in the worker.
+words are remembered in the worker, but for very long ones.  In a merge model,
+runs of spaces have pieces of equal rank, of which only the order of merging tells: there,
+merging itself, by a heap, finds the path.
 
 Decoding runs the chain backwards: ids to pieces, bytes to characters (a wrong
 byte sequence gives U+FFFD), U+2581 to spaces, and off goes the dummy prefix.
@@ -26,10 +29,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .wfst import Memo, Merges, MergeTransducer, UnigramTransducer
+from .wfst import COPY, Fst, Memo, Merges, MergeTransducer, UnigramTransducer, Union
 
-REMEMBERED = 250_000
+#: Words whose paths are remembered, and characters up to which they are.
+REMEMBERED, SHORT = 250_000, 64
 SPACE = "▁"
+_WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 # Numbers of fields and of piece types in the public model format.
 _PIECE, _TRAINER, _NORMALIZER = 1, 2, 3
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _UNUSED, _BYTE = 1, 2, 3, 4, 5, 6
@@ -88,6 +93,15 @@ class Model:
         self.bytes = {int(p[3:5], 16): k for k, (p, t) in enumerate(zip(self.pieces, self.types, strict=True)) if t == _BYTE}
 
 
+def normaliser(prefix: bool, squeeze: bool) -> Fst:
+    """Spaces to U+2581, one of them before the first character; with ``squeeze``, only between words."""
+    same, head = ((COPY,), 0.0, 1), (SPACE,) if prefix else ()
+    if not squeeze:
+        return Fst([{" ": (head + (SPACE,), 0.0, 1), None: (head + (COPY,), 0.0, 1)}, {" ": ((SPACE,), 0.0, 1), None: same}])
+    # Before the first word, in a word, between words.
+    return Fst([{" ": ((), 0.0, 0), None: (head + (COPY,), 0.0, 1)}, {" ": ((), 0.0, 2), None: same}, {" ": ((), 0.0, 2), None: ((SPACE, COPY), 0.0, 1)}])
+
+
 class Transducer:
     """A model, compiled."""
 
@@ -96,14 +110,17 @@ class Transducer:
         usable = {p: k for k, (p, t) in enumerate(zip(m.pieces, m.types, strict=True)) if t in (_NORMAL, _UNUSED)}
         if any(SPACE in p.lstrip(SPACE) for p in usable):
             raise ValueError("pieces that reach from one word into the next aren't supported")
+        # An unknown character weighs 10 more than the dearest piece.
+        weights = {p: -m.scores[k] for p, k in usable.items()}
+        dear = 10 + max(weights.values(), default=0)
+        fallback = Fst([{b: ((k,), dear, 0) for b, k in m.bytes.items()}]) if m.bytes else None
         if m.kind == "bpe":
-            score = {p: -m.scores[k] for p, k in usable.items()}
-            self.merges = Merges(lambda a, b, get=score.get: get(a + b))
+            self.merges = Merges(lambda a, b, get=weights.get: get(a + b))
             self.machine = MergeTransducer(usable, self.merges)
         else:
-            # An unknown character weighs 10 more than the dearest piece.
-            self.machine = UnigramTransducer({p: m.scores[k] for p, k in usable.items()}, 10 - min((m.scores[k] for k in usable.values()), default=0))
-        self.ids_of = usable
+            self.machine = UnigramTransducer({p: m.scores[k] for p, k in usable.items()}, dear)
+        self.normaliser = normaliser(m.dummy_prefix, m.squeeze)
+        self.union = Union(usable, fallback, m.unknown, weights)
         self.memo = Memo(self._word, REMEMBERED)
         self.texts = [SPACE.encode() if t in (_CONTROL, _UNKNOWN) else p.replace(SPACE, " ").encode() for p, t in zip(m.pieces, m.types, strict=True)]
         for byte, k in m.bytes.items():
@@ -115,42 +132,21 @@ class Transducer:
                 self.texts[k] = " ⁇ ".encode()
 
     def normalise(self, text: str) -> str:
-        if self.model.squeeze:
-            text = re.sub(" +", " ", text).strip(" ")
-        if not text:
-            return ""
-        return (" " if self.model.dummy_prefix else "") + text
+        return "".join(self.normaliser.compose(text)[0])
 
     def _path(self, word: str) -> list[str]:
         if SPACE * 2 in word and self.model.kind == "bpe":
-            # Runs of spaces have pieces of equal rank, for which only merging itself is defined.
             return [node[0] for node in self.merges.run(list(word))]
         return self.machine.shortest(word)
 
     def _word(self, word: str) -> bytes:
-        ids = []
-        for piece in self._path(word.replace(" ", SPACE)):
-            k = self.ids_of.get(piece)
-            if k is not None:
-                ids.append(k)
-            elif self.model.bytes:
-                ids += [self.model.bytes[b] for b in piece.encode()]
-            else:
-                ids.append(self.model.unknown)
-        return np.array(ids, "<i4").tobytes()
+        return np.array([k for piece in self._path(word) for k in self.union.arc(piece)[0]], "<i4").tobytes()
 
     def encode(self, text: str) -> bytes:
         """Little-endian 32-bit ids."""
-        text = self.normalise(text)
-        if "  " in text or SPACE in text or text.endswith(" "):
-            words = re.findall(" *[^ ]+| +", text.replace(SPACE, " "))
-        else:
-            words = [" " + w for w in text.split(" ")]
-            if text[:1] == " ":
-                words.pop(0)
-            elif words:
-                words[0] = words[0][1:]
-        return b"".join(map(self.memo.__getitem__, words)) if text else b""
+        words = _WORD.findall(self.normalise(text))
+        remembered, found = self.memo.__getitem__, self._word
+        return b"".join([remembered(w) if len(w) <= SHORT else found(w) for w in words])
 
     def decode(self, ids) -> str:
         text = b"".join(map(self.texts.__getitem__, ids)).decode("utf-8", "replace")

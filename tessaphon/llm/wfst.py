@@ -1,6 +1,9 @@
 """Tokenizers as weighted transducers over the tropical semiring.
 
-A piece transducer reads characters and writes pieces.  Its weights decide
+``Fst`` is a deterministic transducer: composed with a text, it leaves one path.
+The normaliser is one, and so is byte fallback.  A piece transducer reads
+characters and writes pieces; with the fallback it makes a union, whose arcs
+read a piece, or a character without one.  Its weights decide
 which of the many paths through an input is the shortest:
 
 * Unigram models: an arc weighs minus the piece's log probability.
@@ -15,9 +18,62 @@ composed lazily: a pair is worked out the first time that an input asks for it.
 
 from __future__ import annotations
 
+import heapq
 import math
+import re
 
 INF = math.inf
+#: The output of an arc that writes what it reads.
+COPY = object()
+
+
+class Fst:
+    """A deterministic transducer.
+
+    arcs[state][symbol]: (outputs, weight, next state); under None, the arc for
+    any other symbol.  Every state is final.  A COPY among the outputs is the symbol.
+    """
+
+    def __init__(self, arcs: list[dict], start: int = 0):
+        self.arcs, self.start = arcs, start
+        # A state whose other symbols stay in it and are copied passes runs of them at once.
+        self.runs: list = [None] * len(arcs)
+        for state, own in enumerate(arcs):
+            named = "".join(re.escape(k) for k in own if isinstance(k, str))
+            if named and own.get(None) == ((COPY,), 0.0, state):
+                self.runs[state] = re.compile(f"[{named}]")
+
+    def compose(self, symbols):
+        """(outputs, weight) of the path that reads the symbols (a text, or bytes)."""
+        out, weight, state, at, n = [], 0.0, self.start, 0, len(symbols)
+        while at < n:
+            run = self.runs[state]
+            if run is not None:
+                found = run.search(symbols, at)
+                end = found.start() if found else n
+                if end > at:
+                    out.append(symbols[at:end])
+                    at = end
+                    continue
+            symbol = symbols[at]
+            outputs, w, state = self.arcs[state].get(symbol) or self.arcs[state][None]
+            out += [symbol if x is COPY else x for x in outputs]
+            weight += w
+            at += 1
+        return out, weight
+
+
+class Union:
+    """Pieces and byte fallback: what an arc writes and weighs, by what it reads."""
+
+    def __init__(self, pieces: dict[str, int], fallback: Fst | None, unknown: int, weights=None):
+        self.pieces, self.fallback, self.unknown, self.weights = pieces, fallback, unknown, weights or {}
+
+    def arc(self, text: str) -> tuple[list[int], float]:
+        k = self.pieces.get(text)
+        if k is not None:
+            return [k], self.weights.get(text, 0.0)
+        return self.fallback.compose(text.encode()) if self.fallback else ([self.unknown], 0.0)
 
 
 class Merges:
@@ -30,17 +86,33 @@ class Merges:
 
     def run(self, symbols: list[str]) -> list[tuple[str, float, str, str]]:
         """Join symbols, lowest rank first and leftmost among equals; (symbol, rank, left, right) of what remains."""
-        nodes = [(s, -1.0, None, None) for s in symbols]
-        while True:
-            best, at = INF, -1
-            for i in range(len(nodes) - 1):
-                r = self.rank(nodes[i][0], nodes[i + 1][0])
-                if r is not None and r < best:
-                    best, at = r, i
-            if at < 0:
-                return nodes
-            left, right = nodes[at], nodes[at + 1]
-            nodes[at : at + 2] = [(left[0] + right[0], best, left, right)]
+        n = len(symbols)
+        nodes, after, before = [(s, -1.0, None, None) for s in symbols], list(range(1, n + 1)), list(range(-1, n - 1))
+        heap, number = [], 0
+
+        def offer(i):
+            nonlocal number
+            j = after[i]
+            if j < n:
+                r = self.rank(nodes[i][0], nodes[j][0])
+                if r is not None:
+                    number += 1
+                    heapq.heappush(heap, (r, i, number, nodes[i], nodes[j]))
+
+        for i in range(n):
+            offer(i)
+        while heap:
+            r, i, _, left, right = heapq.heappop(heap)
+            j = after[i]
+            if nodes[i] is not left or j >= n or nodes[j] is not right:
+                continue
+            nodes[i], nodes[j], after[i] = (left[0] + right[0], r, left, right), None, after[j]
+            if after[j] < n:
+                before[after[j]] = i
+            offer(i)
+            if before[i] >= 0:
+                offer(before[i])
+        return [x for x in nodes if x is not None]
 
     def spine(self, piece: str, symbols: list[str]) -> tuple:
         """How a piece comes about: symbols at its left and at its right edge with the ranks at which they form."""
