@@ -7,11 +7,13 @@ windows of the order: the first graph.  Rounds of NN-descent follow: a join
 brings to each node the vectors of its neighbours, in both directions of the
 edges; neighbours of a neighbour are compared there, and each pair that beats
 the worst neighbour that a node has is sent to that node, which keeps the best.
+The rounds end when they change less than a hundredth of the graph.
 
 Search.  All queries walk the graph at once.  A query's state is a bounded list
 of the best nodes so far; in each round, the best of those not yet expanded are
 joined with their neighbours, these are scored in the blocks of the vector
-table (queries are sent only to blocks that hold a node they ask for), and the
+table (written once, in the shared folder; a round moves only queries, to the tasks of
+blocks that hold a node they ask for), and the
 state keeps the best.  The walk ends when no query has a node left that isn't
 expanded.  The list, the nodes expanded in a round and the starts grow with the
 square root of the table, so that the rounds stay few.  A query starts at its
@@ -30,16 +32,20 @@ columns are ignored.
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, forget
+from .common import cut, forget, fresh, remove
 
-#: Neighbours kept; trees and window of the first graph; rounds; neighbours compared at a node;
-#: best of them that one node is told; search list, expansions in a round; nodes in a block.
-DEGREE, TREES, WINDOW, DESCENTS, MET, TOLD, LIST, EXPAND, BLOCK = 48, 6, 1024, 2, 40, 16, 160, 40, 4096
+#: Neighbours kept; trees and window of the first graph; share of new neighbours below which rounds end; neighbours
+#: compared at a node; best of them that one node is told; search list, expansions in a round; nodes in a block.
+DEGREE, TREES, WINDOW, CONVERGED, MET, TOLD, LIST, EXPAND, BLOCK = 48, 6, 1024, 0.01, 40, 16, 160, 40, 4096
+#: Parts in which what a node is told is cut down, before the parts meet.
+SALTS = 16
 #: Longest nodes from which a query starts, besides its own, if it is shorter than they are.
 LONGEST = 96
 #: Nodes up to which LIST, EXPAND and LONGEST hold as they are.
@@ -92,7 +98,7 @@ def vectors(table: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     return cut(some.mapInArrow(pack, "id long, vec binary").groupBy("id").agg(F.min("vec").alias("vec")), "ann-vectors")
 
 
-def build(table: DataFrame, degree: int = DEGREE, trees: int = TREES, window: int = WINDOW, descents: int = DESCENTS) -> tuple[DataFrame, DataFrame]:
+def build(table: DataFrame, degree: int = DEGREE, trees: int = TREES, window: int = WINDOW, converged: float = CONVERGED) -> tuple[DataFrame, DataFrame]:
     """table: id, vec.  Cut tables: nodes (node, vec, gvec) and graph (node, ids, scores)."""
     spark = table.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -159,23 +165,37 @@ def build(table: DataFrame, degree: int = DEGREE, trees: int = TREES, window: in
 
     packed = "node long, ids binary, scores binary"
     graph = cut(_keep(ordered.mapInArrow(windows, packed), degree), "ann-graph")
-    for _ in range(descents):
-        longer = cut(_keep(graph.unionByName(_descend(graph, nodes)), degree), "ann-graph")
+    while True:  # ends by itself: what a list takes in is better than what it loses
+        graph_lists = graph.select("node", "ids", "scores")
+        told = _keep(_descend(graph_lists, nodes), degree, salts=SALTS).select("node", "ids", "scores").withColumn("fresh", F.lit(1))
+        longer = cut(_keep(graph_lists.withColumn("fresh", F.lit(0)).unionByName(told), degree), "ann-graph")
         forget(graph)
         graph = longer
-    return nodes, graph
+        if (graph.agg(F.sum("new")).first()[0] or 0) <= converged * n * degree:
+            return nodes, graph
+
 
+def _keep(found: DataFrame, degree: int, salts: int = 1) -> DataFrame:
+    """The best neighbours of each node, from packed lists, and how many of them are new (only in lists that are fresh).
 
-def _keep(found: DataFrame, degree: int) -> DataFrame:
-    """The best neighbours of each node, from packed lists."""
+    With salts, a node's lists are cut down in so many parts, for a node that very many tell something.
+    """
 
     def run(batches):
         for batch in batches:
-            out = [_best(_ids(i), _values(s), degree, node) for node, i, s in zip(batch[0].to_pylist(), batch[1].to_pylist(), batch[2].to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch[0], pa.array([_i8(i) for i, _ in out], pa.binary()), pa.array([_f4(s) for _, s in out], pa.binary())], ["node", "ids", "scores"])
+            out = []
+            for node, lists in zip(batch[0].to_pylist(), batch[1].to_pylist(), strict=True):
+                near, found = _best(_ids(m["ids"] for m in lists), _values(m["scores"] for m in lists), degree, node)
+                old = _ids(m["ids"] for m in lists if not m["fresh"])
+                out.append((_i8(near), _f4(found), int(np.count_nonzero(~np.isin(near, old)))))
+            columns = list(zip(*out, strict=True)) or [(), (), ()]
+            yield pa.RecordBatch.from_arrays([batch[0], *(pa.array(c, k) for c, k in zip(columns, (pa.binary(), pa.binary(), pa.int32()), strict=True))], ["node", "ids", "scores", "new"])
 
-    lists = found.groupBy("node").agg(F.collect_list(F.struct("ids", "scores")).alias("l"))
-    return lists.select("node", "l.ids", "l.scores").mapInArrow(run, "node long, ids binary, scores binary")
+    if "fresh" not in found.columns:
+        found = found.withColumn("fresh", F.lit(1))
+    by = [F.col("node")] if salts == 1 else [F.col("node"), F.pmod(F.xxhash64("ids"), F.lit(salts))]
+    lists = found.groupBy(*by).agg(F.collect_list(F.struct("ids", "scores", "fresh")).alias("l"))
+    return lists.select("node", "l").mapInArrow(run, "node long, ids binary, scores binary, new int")
 
 
 def _descend(graph: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -261,24 +281,52 @@ def walk(queries: DataFrame, nodes: DataFrame, graph: DataFrame) -> DataFrame:
     def place(batches):
         for batch in batches:
             ids = batch[0].to_numpy()
-            yield pa.RecordBatch.from_arrays([pa.array(_block(ids, blocks)), pa.nulls(len(ids), pa.int64()), batch[1], pa.array([_i8([i]) for i in ids], pa.binary())], ["block", "q", "vec", "ids"])
+            yield pa.RecordBatch.from_arrays([pa.array(_block(ids, blocks)), batch[0], batch[1]], ["block", "node", "vec"])
+
+    def write(batches):
+        """Rows sorted by block, each block to a file of its own, which a task that runs again puts there again."""
+        from pyarrow import fs
+
+        store, where = fs.FileSystem.from_uri(folder)
+        store.create_dir(where, recursive=True)
+        last, held = None, []
+
+        def close():
+            ids = np.array([i for i, _ in held], "<i8")
+            order = np.argsort(ids)
+            own = f"{where}/.{uuid.uuid4().hex}"
+            with store.open_output_stream(own) as out:
+                out.write(ids[order].tobytes())
+                for k in order.tolist():
+                    out.write(held[k][1])
+            store.move(own, f"{where}/{last}")
+            return pa.RecordBatch.from_pydict({"block": [last], "n": [len(held)]}, schema=pa.schema([("block", pa.int64()), ("n", pa.int64())]))
+
+        for batch in batches:
+            for block, node, vec in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if block != last and held:
+                    yield close()
+                    held = []
+                last = block
+                held.append((node, vec))
+        if held:
+            yield close()
 
     def score(batches):
-        """Rows of a block, nodes first (q is null), then queries."""
-        last, held, x, order = None, [], None, None
+        """Queries sorted by block: their nodes' products, from the block's file."""
+        from pyarrow import fs
+
+        store, where = fs.FileSystem.from_uri(folder)
+        last, x, order = None, None, None
         for batch in batches:
             out = [[], [], []]
             for block, q, vec, ids in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if block != last:
-                    last, held, x = block, [], None
-                if q is None:
-                    held.append((ids, vec))
-                    continue
-                if x is None:
-                    order = _ids([i for i, _ in held])
-                    x = np.frombuffer(b"".join(v for _, v in held)).reshape(len(held), -1)
-                    sort = np.argsort(order)
-                    order, x = order[sort], x[sort]
+                    with store.open_input_file(f"{where}/{block}") as file:
+                        data = file.read()
+                    count = len(data) // (8 + len(vec))
+                    order, x = np.frombuffer(data, "<i8", count), np.frombuffer(data, "<f8", offset=8 * count).reshape(count, -1)
+                    last = block
                 wanted = np.frombuffer(ids, "<i8")
                 at = np.minimum(np.searchsorted(order, wanted), len(order) - 1)
                 at = at[order[at] == wanted]
@@ -307,16 +355,19 @@ def walk(queries: DataFrame, nodes: DataFrame, graph: DataFrame) -> DataFrame:
     names, kinds = ["q", "vec", "ids", "scores", "done"], "q long, vec binary, ids binary, scores binary, done binary"
     asked = "block long, q long, vec binary, ids binary"
     parts, n = int(spark.conf.get("spark.sql.shuffle.partitions")), nodes.count()
-    blocks = max(1, -(-n // BLOCK))
+    blocks, folder = max(1, -(-n // BLOCK)), fresh(spark, "ann-blocks")
+    dealt = nodes.select("node", "vec").mapInArrow(place, "block long, node long, vec binary").repartition(parts, "block").sortWithinPartitions("block")
+    written = cut(dealt.mapInArrow(write, "block long, n long"), "ann-written")
     keep, expand, starts = budget(n)
     adjacent = graph.select("node", "ids")
     # Nodes that are longer than a query can have a larger product with it than any near its own place.
     measured = nodes.select("node", "vec").mapInArrow(_itself, "q long, self double").orderBy(F.desc("self"), "q").limit(starts).collect()
     longest, least = [r["q"] for r in measured], 0.98 * measured[-1]["self"] if measured else 0.0
     state = cut(queries.select("q", "vec", "entry").mapInArrow(start, kinds), "ann-state")
+
     def scored(state, lists, opened):
-        rows = lists.mapInArrow(spread, asked).unionByName(nodes.select("node", "vec").mapInArrow(place, asked))
-        rows = rows.repartition(parts, "block").sortWithinPartitions("block", F.col("q").asc_nulls_first())
+        # Salted: a block that holds what many queries ask for is read by several tasks.
+        rows = lists.mapInArrow(spread, asked).repartition(parts, "block", F.pmod("q", F.lit(SALTS))).sortWithinPartitions("block")
         found = rows.mapInArrow(score, "q long, ids binary, scores binary").groupBy("q").agg(F.collect_list(F.struct("ids", "scores")).alias("more"))
         return cut(state.join(found, "q", "left").mapInArrow(lambda batches: update(batches, opened), kinds), "ann-state")
 
@@ -340,7 +391,10 @@ def walk(queries: DataFrame, nodes: DataFrame, graph: DataFrame) -> DataFrame:
             out = [_good(np.frombuffer(i, "<i8"), np.frombuffer(s)) for i, s in zip(batch[1].to_pylist(), batch[2].to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch[0], pa.array([i.tolist() for i, _ in out], pa.list_(pa.int64())), pa.array([s.tolist() for _, s in out], pa.list_(pa.float64()))], ["q", "ids", "scores"])
 
-    return cut(state.select("q", "ids", "scores").mapInArrow(finish, "q long, ids array<long>, scores array<double>"), "ann-found")
+    out = cut(state.select("q", "ids", "scores").mapInArrow(finish, "q long, ids array<long>, scores array<double>"), "ann-found")
+    forget(state, written)
+    remove(spark, folder)
+    return out
 
 
 def _f8(x) -> bytes:
