@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
@@ -58,12 +60,24 @@ def framed_power(n_fft: int, hop: int):
     return power
 
 
+#: Values that a batch of ``flat`` holds before it is sent on, however many rows came in.
+SENT = 1 << 21
+
+
 def flat(kernel, kind: str = "array<double>"):
     """A UDF from a NumPy kernel of one array."""
 
     @F.pandas_udf(kind)
-    def run(sounds: pd.Series) -> pd.Series:
-        return pd.Series([None if y is None else np.asarray(kernel(np.asarray(y, float))).ravel() for y in sounds])
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for sounds in batches:
+            out, held = [], 0
+            for y in sounds:
+                out.append(None if y is None else np.asarray(kernel(np.asarray(y, float))).ravel())
+                held += 0 if y is None else out[-1].size
+                if held >= SENT:
+                    yield pd.Series(out, dtype=object)
+                    out, held = [], 0
+            yield pd.Series(out, dtype=object)
 
     return run
 

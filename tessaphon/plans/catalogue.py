@@ -258,7 +258,10 @@ def time_stretch(spark, sf_dir):
 
 
 def constant_timeframe(spark, sf_dir):
-    e = _read(spark, sf_dir, "embeddings").select("vec_id", udfs.constant_timeframe()("embedding").alias("y"))
+    # Rows grow to 29,400 samples: they are dealt out first, since a file of one row group would go to one task.
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    dealt = _read(spark, sf_dir, "embeddings").select("vec_id", "embedding").repartition(parts)
+    e = dealt.select("vec_id", udfs.constant_timeframe()("embedding").alias("y"))
     return e.select("vec_id", F.size("y").cast("long").alias("n"))
 
 

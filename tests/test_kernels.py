@@ -123,3 +123,27 @@ def test_banks_against_their_definitions():
     for k in range(5):
         for j in range(8):
             assert dct[k, j] == pytest.approx(math.cos(math.pi * k * (j + 0.5) / 8) * math.sqrt((1 if k == 0 else 2) / 8))
+
+
+def test_stretch_makes_only_frames_that_are_heard(monkeypatch):
+    made, istft = [], spectral.istft
+    monkeypatch.setattr(spectral, "istft", lambda s, hop, length: made.append(s.shape[1]) or istft(s, hop, length))
+    y = np.random.default_rng(3).standard_normal(64)
+    out = spectral.constant_timeframe(y)
+    assert len(out) == 29400 and made == [60]  # 460 of them before, of which 400 lay behind the end
+    # One frame, whose spectrum turns back by its own angle at each step.
+    s, rate = np.fft.rfft(np.pad(y, (1024, 960)) * spectral.hann(2048, 2048)), 0.75 * 64 / 22050
+    frames = np.stack([(1 - j * rate) * np.abs(s) * np.exp(1j * np.angle(s) * (1 - j)) for j in range(460)], axis=1)
+    assert np.allclose(out, istft(frames, 512, 29400), atol=1e-9)
+
+
+def test_batches_of_long_results_are_sent_in_parts(spark, monkeypatch):
+    import pandas as pd
+    from tessaphon.kernels import udfs
+
+    monkeypatch.setattr(udfs, "SENT", 100)
+    rows = pd.Series([np.ones(3), None, np.ones(0), *[np.full(2, float(k)) for k in range(20)]])
+    parts = list(udfs.flat(lambda y: np.repeat(y, 30)).func(iter([rows, rows[:0]])))
+    assert max(sum(0 if y is None else len(y) for y in p) for p in parts) < 200 and len(parts) > 5
+    whole = [y for p in parts for y in p]
+    assert len(whole) == len(rows) and whole[1] is None and len(whole[2]) == 0 and whole[-1].tolist() == [19.0] * 60
