@@ -23,6 +23,7 @@ afterwards, as in the library.  Models with a character map are refused.
 from __future__ import annotations
 
 import re
+import struct
 
 import numpy as np
 import pyarrow as pa
@@ -140,7 +141,14 @@ class Transducer:
         return self.machine.shortest(word)
 
     def _word(self, word: str) -> bytes:
-        return np.array([k for piece in self._path(word) for k in self.union.arc(piece)[0]], "<i4").tobytes()
+        ids, known = [], self.union.pieces.get
+        for piece in self._path(word):
+            k = known(piece)
+            if k is None:
+                ids += self.union.arc(piece)[0]
+            else:
+                ids.append(k)
+        return struct.pack(f"<{len(ids)}i", *ids)
 
     def encode(self, text: str) -> bytes:
         """Little-endian 32-bit ids."""

@@ -38,8 +38,14 @@ class Fst:
         self.arcs, self.start = arcs, start
         # A state whose other symbols stay in it and are copied passes runs of them at once.
         self.runs: list = [None] * len(arcs)
+        # One whose only named symbol stays in it too rewrites all that follows at once.
+        self.loops: list = [None] * len(arcs)
         for state, own in enumerate(arcs):
             named = "".join(re.escape(k) for k in own if isinstance(k, str))
+            if len(own) == 2 and named and own.get(None) == ((COPY,), 0.0, state):
+                (symbol, (outputs, weight, after)), = ((k, v) for k, v in own.items() if k is not None)
+                if len(symbol) == 1 and weight == 0.0 and after == state and all(isinstance(x, str) for x in outputs):
+                    self.loops[state] = (symbol, "".join(outputs))
             if named and own.get(None) == ((COPY,), 0.0, state):
                 self.runs[state] = re.compile(f"[{named}]")
 
@@ -47,6 +53,9 @@ class Fst:
         """(outputs, weight) of the path that reads the symbols (a text, or bytes)."""
         out, weight, state, at, n = [], 0.0, self.start, 0, len(symbols)
         while at < n:
+            if self.loops[state] is not None:
+                out.append(symbols[at:].replace(*self.loops[state]))
+                break
             run = self.runs[state]
             if run is not None:
                 found = run.search(symbols, at)
@@ -172,43 +181,58 @@ class MergeTransducer:
     def __init__(self, pieces: dict[str, int], merges: Merges, symbols=list, open_: bool = True):
         self.pieces, self.merges, self.symbols = pieces, merges, symbols
         self.least = 1 if open_ else 0
-        self.reach: dict[str, int] = {}
+        self.fits: dict[tuple[int, int], bool] = {}
+        #: Lengths that a piece can have, longest first, by the first three characters of what is left (fewer at the end).
+        self.lengths: dict[str, tuple] = {}
+        found: dict[str, set] = {}
         for p in pieces:
-            key = p[:2]
-            if len(p) > self.reach.get(key, 0):
-                self.reach[key] = len(p)
+            if len(p) > 2:
+                found.setdefault(p[:3], set()).add(len(p))
+        shortest = (1,) if self.least else ()
+        for key in {*found, *(p[:2] for p in pieces)}:
+            own = {size for size in (1, 2) if key[:size] in pieces and len(key) >= size} | {*found.get(key, ()), *shortest}
+            self.lengths[key] = tuple(sorted(own, reverse=True))
 
     def shortest(self, text: str) -> list[str]:
         """The pieces on the only path of finite weight, found depth first, longest arcs first."""
-        pieces, fits, symbols = self.pieces, self.merges.side_by_side, self.symbols
-        pairs, reach, least = self.merges._pairs, self.reach, self.least
-        n, at, path, starts, dead = len(text), 0, [], [], set()
-        size = min(reach.get(text[:2], 1), n)
+        number, fits, lengths, least = self.pieces.get, self.fits, self.lengths, self.least
+        n, at, last, path, dead = len(text), 0, None, [], set()
+        most, other = n, (1,) if least else ()
         while at < n:
-            last = path[-1] if path else None
-            while size > 0:
+            for size in lengths.get(text[at : at + 3]) or lengths.get(text[at : at + 2]) or lengths.get(text[at]) or other:
+                if size > most or (dead and at + size in dead):
+                    continue
                 piece = text[at : at + size]
-                if (size == least or piece in pieces) and at + size not in dead:
-                    if last is None or piece not in pieces or last not in pieces:
+                k = number(piece)
+                if k is not None:
+                    if last is None:
                         break
-                    ok = pairs.get((last, piece))
-                    if ok or (ok is None and fits(last, piece, symbols)):
+                    ok = fits.get((last, k))
+                    if ok or (ok is None and self._fit(last, k, path[-1], piece)):
                         break
-                size -= 1
-            if size > 0:
-                path.append(piece)
-                starts.append(at)
-                at += size
-                size = min(reach.get(text[at : at + 2], 1), n - at)
+                elif size == least:
+                    break
             else:
                 if not path:
                     raise ValueError("no path")
                 dead.add(at)
-                path.pop()
-                back = starts.pop()
-                size, at = at - back - 1, back
+                most = len(path.pop()) - 1
+                at -= most + 1
+                last = number(path[-1]) if path else None
+                continue
+            path.append(piece)
+            last = k
+            at += size
+            most = n - at
         return path
 
+    def _fit(self, last: int, k: int, left: str, right: str) -> bool:
+        """Whether two pieces can be neighbours, remembered by their ids."""
+        if len(self.fits) >= self.merges.limit:
+            self.fits.clear()
+        got = self.fits[last, k] = self.merges.side_by_side(left, right, self.symbols)
+        return got
+
 
 class UnigramTransducer:
     """Characters to pieces, where an arc weighs minus the piece's score."""

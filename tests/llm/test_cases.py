@@ -199,3 +199,18 @@ def test_quality_of_long_words_repeated_rows_and_no_rows(spark):
     for n in (1, 23, 24, 25, 26, 48, 49, 100):
         word = "".join(chr(97 + k % 26) for k in range(n))
         assert [g for u in quality._units(word) for g in quality._unit_grams(u)] == quality._grams(word)
+
+
+def test_words_take_few_steps():
+    from tessaphon.llm import wfst
+
+    spaces = sentencepiece_fst.normaliser(True, False)
+    out, weight = spaces.compose("ab " * 1000)
+    assert "".join(out) == "▁" + "ab▁" * 1000 and weight == 0.0 and len(out) < 10  # 2,002 parts before
+    assert "".join(sentencepiece_fst.normaliser(True, True).compose("  a   b ")[0]) == "▁a▁b"
+    # Only lengths that a piece can have are tried: 3 and 1 after "abc", though a piece of 9 begins with "ab".
+    pieces = {p: k for k, p in enumerate(["a", "b", "c", "ab", "abc", "abxxxxxxx"])}
+    merges = wfst.Merges(lambda a, b: {"ab": 0.0, "abc": 1.0}.get(a + b))
+    machine = wfst.MergeTransducer(pieces, merges)
+    assert machine.lengths["abc"] == (3, 2, 1) and machine.lengths["abx"] == (9, 2, 1)
+    assert machine.shortest("abcabab?c") == ["abc", "ab", "ab", "?", "c"]
