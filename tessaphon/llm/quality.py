@@ -46,12 +46,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, forget, join_checked
-from .wfst import Memo
 
 ORDER, QUANTILE, FOLDS, PRIOR_CHARS = 5, 0.995, 2, 200
-#: Entries of a shard of the model; partial counts, words and n-grams remembered in a worker; words that are broadcast;
-#: characters of a long word's pieces.
-SHARD_ENTRIES, PARTIAL, REMEMBERED, HELD_WORDS, PIECE = 4_000_000, 400_000, 250_000, 100_000, 24
+#: Entries of a shard of the model; partial counts, words and n-grams remembered in a worker in all; words that are broadcast;
+#: characters of a long word's pieces; characters of texts that are scored together.
+SHARD_ENTRIES, PARTIAL, REMEMBERED, HELD_WORDS, PIECE, TOGETHER = 4_000_000, 400_000, 500_000, 100_000, 24, 1 << 20
 START, END = "\x02", "\x03"
 
 
@@ -212,39 +211,78 @@ def estimate(units: DataFrame) -> DataFrame:
 
 
 class Shard:
-    """A model of one shard in a worker: sorted keys and values."""
+    """A model of one shard in a worker: sorted keys and values.
+
+    Values of words and n-grams are remembered in two generations of a bounded number of entries, however many
+    languages there are; what isn't remembered is looked up for many at once.
+    """
 
     def __init__(self, keys, values):
         import xxhash
 
         self.keys, self.values, self.hash = keys, values, xxhash.xxh64_intdigest
-        self.seeds, self.memos = {}, {}
-
-    def value(self, lang: str, part: str, gram: str):
-        key = np.uint64(self.hash(gram.encode(), self.hash(part.encode(), self.seeds[lang])))
-        at = int(np.searchsorted(self.keys, key))
-        return float(self.values[at]) if at < len(self.keys) and self.keys[at] == key else None
-
-    def gram(self, lang: str, gram: str) -> float:
-        """Log probability of the last character; an unseen history has no back-off weight and passes on."""
-        weight = 0.0
+        self.seeds, self.young, self.old, self.held = {}, {}, {}, 0
+
+    def find(self, seed: int, grams: list[str]):
+        """(whether an entry is there, its value or 0) for n-grams of one language and part."""
+        if not len(self.keys) or not grams:
+            return np.zeros(len(grams), bool), np.zeros(len(grams))
+        digest = self.hash
+        asked = np.array([digest(g.encode(), seed) for g in grams], np.uint64)
+        at = np.minimum(np.searchsorted(self.keys, asked), len(self.keys) - 1)
+        there = self.keys[at] == asked
+        return there, np.where(there, self.values[at], 0.0)
+
+    def known(self, lang: str) -> bool:
+        if lang not in self.seeds:
+            own = self.hash(lang.encode(), 42)
+            seeds = self.hash(b"p", own), self.hash(b"b", own)
+            self.seeds[lang] = seeds if self.find(seeds[1], [""])[0][0] else None
+        return self.seeds[lang] is not None
+
+    def grams(self, lang: str, grams: list[str]) -> list[float]:
+        """Log probabilities of the last characters; an unseen history has no back-off weight and passes on."""
+        of_gram, of_history = self.seeds[lang]
+        out, weight, left = np.zeros(len(grams)), np.zeros(len(grams)), np.arange(len(grams))
         for k in range(ORDER, 0, -1):
-            p = self.value(lang, "p", gram[-k:])
-            if p is not None:
-                return weight + p
-            weight += self.value(lang, "b", gram[-k:-1] if k > 1 else "") or 0.0
-        return weight
-
-    def units(self, lang: str):
-        """Negative log probabilities of a language's words and pieces; None for one that the model doesn't know."""
-        if lang not in self.memos:
-            self.seeds[lang] = self.hash(lang.encode(), 42)
-            if self.value(lang, "b", "") is None:
-                self.memos[lang] = None
+            ends = [grams[i][-k:] for i in left.tolist()]
+            there, value = self.find(of_gram, ends)
+            out[left[there]] = weight[left[there]] + value[there]
+            left = left[~there]
+            weight[left] += self.find(of_history, [e[:-1] for e, t in zip(ends, there.tolist(), strict=True) if not t])[1]
+        out[left] = weight[left]
+        return out.tolist()
+
+    def units(self, lang: str, units) -> dict[str, float] | None:
+        """Negative log probabilities of a language's words and pieces, those asked for among others; None if the model doesn't know it."""
+        if not self.known(lang):
+            return None
+        if self.held > REMEMBERED:
+            self.old, self.young, self.held = self.young, {}, 0
+        (words, values), (old_words, old_values) = self.young.setdefault(lang, ({}, {})), self.old.get(lang, ({}, {}))
+        before, new = len(words) + len(values), []
+        for u in units:
+            if u not in words:
+                known = old_words.get(u)
+                if known is None:
+                    new.append((u, _unit_grams(u)))
+                else:
+                    words[u] = known
+        wanted, missing = set(), []
+        for _, own in new:
+            wanted.update(own)
+        for g in wanted - values.keys():
+            known = old_values.get(g)
+            if known is None:
+                missing.append(g)
             else:
-                get = Memo(lambda g: self.gram(lang, g), REMEMBERED).__getitem__
-                self.memos[lang] = Memo(lambda u: -sum(map(get, _unit_grams(u))), REMEMBERED)
-        return self.memos[lang]
+                values[g] = known
+        values.update(zip(missing, self.grams(lang, missing), strict=True))
+        get = values.__getitem__
+        for u, own in new:
+            words[u] = -sum(map(get, own))
+        self.held += len(words) + len(values) - before
+        return words
 
 
 _shards: dict[str, Shard] = {}
@@ -314,11 +352,21 @@ class Model:
                 _shards[name] = Shard(*held.value)
             shard = _shards[name]
             for batch in batches:
-                sums, sizes = [], []
-                for lang, text in zip(batch[0].to_pylist(), batch[3], strict=True):
-                    counts, known = _unit_counts(text.as_py() or ""), shard.units(lang)
+                sums, sizes, waiting, chars = [0.0] * batch.num_rows, [], defaultdict(list), 0
+                for i, (lang, text) in enumerate(zip(batch[0].to_pylist(), batch[3], strict=True)):
+                    text = text.as_py() or ""
+                    counts = _unit_counts(text)
                     sizes.append(sum(n * (len(u) - (1 if u[0] == START else ORDER - 1)) for u, n in counts.items()))
-                    sums.append(math.fsum(n * known[u] for u, n in counts.items()) if known is not None else 0.0)
+                    waiting[lang].append((i, counts))
+                    chars += len(text)
+                    if chars > TOGETHER or i == batch.num_rows - 1:
+                        for own, texts in waiting.items():
+                            known = shard.units(own, {u for _, c in texts for u in c})
+                            if known is not None:
+                                for at, c in texts:
+                                    sums[at] = math.fsum(n * known[u] for u, n in c.items())
+                        waiting.clear()
+                        chars = 0
                 yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(sums, pa.float64()), pa.array(sizes, pa.int64())], ["lang", "k1", "k2", "nll", "n"])
 
         scored = texts.select("lang", "k1", "k2", "text").mapInArrow(score, "lang string, k1 long, k2 long, nll double, n long")

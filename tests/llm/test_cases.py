@@ -214,3 +214,45 @@ def test_words_take_few_steps():
     machine = wfst.MergeTransducer(pieces, merges)
     assert machine.lengths["abc"] == (3, 2, 1) and machine.lengths["abx"] == (9, 2, 1)
     assert machine.shortest("abcabab?c") == ["abc", "ab", "ab", "?", "c"]
+
+
+def test_remembered_values_are_bounded_over_languages(monkeypatch):
+    import xxhash
+
+    monkeypatch.setattr(quality, "REMEMBERED", 200)
+    r = np.random.default_rng(4)
+    words = ["".join(r.choice(list("abcdeß"), r.integers(1, 9))) for _ in range(400)]
+    entries = {}
+    for lang in map(str, range(12)):
+        entries[lang, "b", ""] = -3.0
+        for w in words[:: 2 + int(lang) % 3]:
+            for g in quality._grams(w):
+                for k in range(1, quality.ORDER + 1):
+                    entries[lang, "p", g[-k:]] = -float(r.random()) - k
+                    entries[lang, "b", g[-k:]] = -float(r.random())
+
+    def key(*parts):
+        seed = 42
+        for part in parts:
+            seed = xxhash.xxh64_intdigest(part.encode(), seed)
+        return seed
+
+    def gram(lang, g):
+        weight = 0.0
+        for k in range(quality.ORDER, 0, -1):
+            if (lang, "p", g[-k:]) in entries:
+                return weight + entries[lang, "p", g[-k:]]
+            weight += entries.get((lang, "b", g[-k:-1]), 0.0)
+        return weight
+
+    pairs = sorted((key(*parts), value) for parts, value in entries.items())
+    shard = quality.Shard(np.array([k for k, _ in pairs], np.uint64), np.array([v for _, v in pairs]))
+    assert shard.units("none", ["\x02a\x03"]) is None
+    for turn in range(3):
+        for lang in map(str, range(12)):
+            for at in range(0, 400, 40):
+                units = [u for w in words[at : at + 40] for u in quality._units(w)]
+                known = shard.units(lang, units)
+                assert all(known[u] == -sum(gram(lang, g) for g in quality._unit_grams(u)) for u in units)
+                held = sum(len(x) for found in (shard.young, shard.old) for both in found.values() for x in both)
+                assert held <= 2 * (200 + 40 * 12)  # 12 times as many before: each language had its own bound
