@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -70,6 +73,30 @@ def join_checked(left: DataFrame, right: DataFrame, on, how: str = "inner", limi
     return left.join(F.broadcast(right) if table_bytes(right) <= limit else right, on, how)
 
 
+def frugal(run):
+    """A function of mapInArrow whose worker gives its memory back to the system when its task ends.
+
+    Workers are used again, for other operators too, and wait in between; what each of them held would add up.
+    """
+
+    @functools.wraps(run)
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return wrapped
+
+
+def give_back() -> None:
+    """Return what the process has freed to the system, where its C library can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def text_of(column: str = "text"):
     """A text column with null as the empty text."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, forget, join_checked
+from .common import cut, forget, frugal, join_checked
 from .wfst import Memo
 
 WORDS, THRESHOLD, BANDS, ROWS, COMPARED, STEP, TOLERANCE, BLOCK = 5, 0.8, 50, 5, 64, 16, 1e-6, 256
@@ -123,7 +123,7 @@ def profiles(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                     sigs.append(None)
             yield pa.RecordBatch.from_arrays([batch[0], pa.array(keys, pa.string()), pa.array(sizes, pa.int32()), pa.array(held, pa.list_(pa.int64())), pa.array(sigs, pa.binary())], ["id", "key", "n", "bands", "sig"])
 
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(run, "id long, key string, n int, bands array<long>, sig binary")
+    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(frugal(run), "id long, key string, n int, bands array<long>, sig binary")
 
 
 def shingle_sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -134,11 +134,14 @@ def shingle_sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
         memo = _word_memo()
         for batch in batches:
-            found = [words(x.as_py() or "") for x in batch[1]]
-            keys = [hashlib.blake2b(" ".join(w).encode(), digest_size=16).hexdigest() for w in found]
-            yield pa.RecordBatch.from_arrays([batch[0], pa.array(keys, pa.string()), pa.array([shingles(w, memo).tobytes() for w in found], pa.binary())], ["id", "key", "set"])
+            keys, sets = [], []
+            for text in batch[1]:
+                found = words(text.as_py() or "")
+                keys.append(hashlib.blake2b(" ".join(found).encode(), digest_size=16).hexdigest())
+                sets.append(shingles(found, memo).tobytes())
+            yield pa.RecordBatch.from_arrays([batch[0], pa.array(keys, pa.string()), pa.array(sets, pa.binary())], ["id", "key", "set"])
 
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(run, "id long, key string, set binary")
+    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(frugal(run), "id long, key string, set binary")
 
 
 def _by_tile(batches):
@@ -283,14 +286,14 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     second = tiles.filter("b1 <> b2").select("tile", F.col("b2").alias("block"), F.lit(2).alias("side"))
     members = first.unionByName(second).join(blocks, "block").select("tile", "side", "node")
     tiled = members.join(profile("sig"), "node").select("tile", "side", "node", "sig").repartition(parts, "tile").sortWithinPartitions("tile")
-    left = cut(tiled.mapInArrow(_prune, "tile long, side int, node long"), "jaccard-left")
+    left = cut(tiled.mapInArrow(frugal(_prune), "tile long, side int, node long"), "jaccard-left")
     forget(profiled, tiles, blocks)
     wanted = cut(left.select("node").distinct().join(copies.select(node, "key", "first", "copies"), "node").select("node", "first", F.col("key").alias("wanted"), "copies"), "jaccard-wanted")
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     texts = join_checked(base, wanted, F.col("id") == F.col("first"), "left_semi")
     sets = shingle_sets(texts, "id", "text").join(wanted, (F.col("key") == F.col("wanted")) & (F.col("id") == F.col("first"))).select("node", "key", "copies", "set").dropDuplicates(["key"])
     full = left.distinct().join(sets, "node").select("tile", "side", "key", "copies", "set").repartition(parts, "tile").sortWithinPartitions("tile")
-    found = cut(full.mapInArrow(_verify, "key string, root string, texts long, docs long"), "jaccard-links")
+    found = cut(full.mapInArrow(frugal(_verify), "key string, root string, texts long, docs long"), "jaccard-links")
     forget(left, wanted)
     links = found.groupBy("key").agg(F.sum("docs").alias("links"))
     classes = components(found.select("key", "root")).join(copies.select("key", "first"), "key")

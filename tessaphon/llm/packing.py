@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, join_checked
+from .common import cut, frugal, join_checked
 
 #: Groups of large lengths, the share of the capacity beyond which a length is
 #: large, rows of a length that one window orders.
@@ -52,6 +52,12 @@ def pieces(docs: DataFrame, tokenizer_file: bytes, capacity: int, end_id: int, i
         from .word_bpe import tokenizer
 
         tok = tokenizer(tokenizer_file)
+        try:
+            yield from _cut_up(tok, batches)
+        finally:
+            tok.forget()
+
+    def _cut_up(tok, batches):
         for batch in batches:
             out = [[], [], [], [], []]
             for doc, text in zip(batch[0].to_pylist(), batch[1], strict=True):
@@ -63,7 +69,7 @@ def pieces(docs: DataFrame, tokenizer_file: bytes, capacity: int, end_id: int, i
                         column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)], ["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(cut_up, PIECES)
+    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(frugal(cut_up), PIECES)
 
 
 def pack(items: DataFrame, capacity: int) -> DataFrame:

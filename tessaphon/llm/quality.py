@@ -45,10 +45,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, forget, join_checked
+from .common import cut, forget, frugal, join_checked
 
 ORDER, QUANTILE, FOLDS, PRIOR_CHARS = 5, 0.995, 2, 200
-#: Entries of a shard of the model; partial counts, words and n-grams remembered in a worker in all; words that are broadcast;
+#: Entries of a shard of the model; partial counts, words and n-grams remembered in a task in all; words that are broadcast;
 #: characters of a long word's pieces; characters of texts that are scored together.
 SHARD_ENTRIES, PARTIAL, REMEMBERED, HELD_WORDS, PIECE, TOGETHER = 4_000_000, 400_000, 500_000, 100_000, 24, 1 << 20
 START, END = "\x02", "\x03"
@@ -130,7 +130,7 @@ def unit_counts(texts: DataFrame) -> DataFrame:
                 both = list(own.values())
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(own), pa.string()), pa.array(list(own), pa.string()), pa.array([x[0] for x in both], pa.int64()), pa.array([x[1] for x in both], pa.int64())], ["lang", "unit", "n", "t"])
 
-    counted = texts.select("lang", "text", "t").mapInArrow(count, "lang string, unit string, n long, t long")
+    counted = texts.select("lang", "text", "t").mapInArrow(frugal(count), "lang string, unit string, n long, t long")
     return counted.groupBy("lang", "unit").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
 
 
@@ -157,7 +157,7 @@ def ngram_counts(units: DataFrame) -> DataFrame:
             if grams:
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(grams), pa.string()), pa.array(list(grams), pa.string()), pa.array(list(grams.values()), pa.int64())], ["lang", "gram", "n"])
 
-    return units.select("lang", "unit", "n").mapInArrow(count, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    return units.select("lang", "unit", "n").mapInArrow(frugal(count), "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
 def train(texts: DataFrame) -> DataFrame:
@@ -285,9 +285,6 @@ class Shard:
         return words
 
 
-_shards: dict[str, Shard] = {}
-
-
 class Model:
     """A trained model, sharded by hash into parts of a bounded number of entries on average."""
 
@@ -330,7 +327,7 @@ class Model:
                 yield pa.RecordBatch.from_arrays([*(c.take(each) for c in batch.columns), pa.array([g for own in found for g in own], pa.string())], ["lang", "unit", "n", "gram"])
 
         known = join_checked(units, self.langs, "lang", "left_semi")
-        spread = known.select("lang", "unit", "n").mapInArrow(grams, "lang string, unit string, n long, gram string")
+        spread = known.select("lang", "unit", "n").mapInArrow(frugal(grams), "lang string, unit string, n long, gram string")
         values = self.of_grams(cut(spread.select("lang", "gram").distinct(), "kn-grams"))
         out = cut(join_checked(spread, values, ["lang", "gram"]).groupBy("lang", "unit", "n").agg((-F.sum("value")).alias("nll")), "kn-units")
         forget(values)
@@ -344,13 +341,10 @@ class Model:
         rows = self.table.select(F.xxhash64("lang", "part", "gram").alias("key"), "value").toArrow()
         keys = rows["key"].to_numpy().view(np.uint64)
         order = np.argsort(keys)
-        name, held = uuid.uuid4().hex, texts.sparkSession.sparkContext.broadcast((keys[order], rows["value"].to_numpy()[order]))
+        held = texts.sparkSession.sparkContext.broadcast((keys[order], rows["value"].to_numpy()[order]))
 
         def score(batches):
-            if name not in _shards:
-                _shards.clear()
-                _shards[name] = Shard(*held.value)
-            shard = _shards[name]
+            shard = Shard(*held.value)  # for one task: a worker that waits remembers nothing
             for batch in batches:
                 sums, sizes, waiting, chars = [0.0] * batch.num_rows, [], defaultdict(list), 0
                 for i, (lang, text) in enumerate(zip(batch[0].to_pylist(), batch[3], strict=True)):
@@ -369,7 +363,7 @@ class Model:
                         chars = 0
                 yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(sums, pa.float64()), pa.array(sizes, pa.int64())], ["lang", "k1", "k2", "nll", "n"])
 
-        scored = texts.select("lang", "k1", "k2", "text").mapInArrow(score, "lang string, k1 long, k2 long, nll double, n long")
+        scored = texts.select("lang", "k1", "k2", "text").mapInArrow(frugal(score), "lang string, k1 long, k2 long, nll double, n long")
         out = cut(scored.groupBy("lang", "k1", "k2").agg(F.max("nll").alias("nll"), F.max("n").alias("n")), "kn-texts")
         held.unpersist()
         return out
@@ -420,7 +414,7 @@ class Model:
             kinds = (pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.float64(), pa.int64())
             return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)], ["lang", "k1", "k2", "unit", "c", "nll", "n"])
 
-        asked = cut(texts.select("lang", "k1", "k2", "text").mapInArrow(ask, "lang string, k1 long, k2 long, unit string, c int, nll double, n long"), "kn-asked")
+        asked = cut(texts.select("lang", "k1", "k2", "text").mapInArrow(frugal(ask), "lang string, k1 long, k2 long, unit string, c int, nll double, n long"), "kn-asked")
         rare = scored.filter(~often).select("lang", "unit", F.col("nll").alias("each"))
         met = asked.filter("unit IS NOT NULL").join(rare, ["lang", "unit"]).select("lang", "k1", "k2", "unit", (F.col("c") * F.col("each")).alias("nll"), F.lit(None).cast("long").alias("n"))
         every = asked.filter("unit IS NULL").select("lang", "k1", "k2", "unit", "nll", "n").unionByName(met)

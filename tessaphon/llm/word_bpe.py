@@ -15,7 +15,7 @@ import struct
 
 from .wfst import Memo
 
-#: Remembered words in a worker.
+#: Remembered words in a task.
 REMEMBERED = 300_000
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-^`{-~]*)").fullmatch
 
@@ -48,6 +48,10 @@ class WordTokenizer:
         self.model = self.library.model
         letters = _byte_letters()
         self.latin = {c: "".join(letters[x] for x in chr(c).encode()) for c in range(0xC0, 0x100)}
+        self.forget()
+
+    def forget(self) -> None:
+        """Drop what is remembered of the texts so far."""
         self.words = Memo(self._word, REMEMBERED)
         self.marks = Memo(self._library, 10_000)
         self.chunks = Memo(self._chunk, REMEMBERED)

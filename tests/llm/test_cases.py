@@ -1,6 +1,7 @@
 """Cases that every operator defines, and results against plain re-computations."""
 
 import hashlib
+import random
 import struct
 import time
 import zlib
@@ -8,9 +9,11 @@ from pathlib import Path
 from urllib.parse import urlparse
 
 import numpy as np
+import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
-from tessaphon.llm import ann, chat, licenses, media, quality, registry, sentencepiece_fst, sharding
+from tessaphon.llm import ann, chat, licenses, media, packing, quality, registry, sentencepiece_fst, sharding
 
 DOCS = "doc_id long, text string"
 #: Names that operators use inside.
@@ -256,3 +259,26 @@ def test_remembered_values_are_bounded_over_languages(monkeypatch):
                 assert all(known[u] == -sum(gram(lang, g) for g in quality._unit_grams(u)) for u in units)
                 held = sum(len(x) for found in (shard.young, shard.old) for both in found.values() for x in both)
                 assert held <= 2 * (200 + 40 * 12)  # 12 times as many before: each language had its own bound
+
+
+def test_workers_that_wait_hold_nothing(spark):
+    """A worker is used again by the next operator, with what the last one left in it."""
+    r = random.Random(5)
+    texts = [" ".join("".join(r.choices("abcdefgh", k=5)) for _ in range(200)) for _ in range(40)]
+    docs = spark.createDataFrame([(i, x, "en") for i, x in enumerate(texts)], "doc_id long, text string, lang string").repartition(4).cache()
+    with open(public_tokenizers.path("word_bpe_49k.json"), "rb") as file:
+        packing.pieces(docs, file.read(), 4096, 1).count()
+    keyed = docs.select("lang", F.xxhash64("text").alias("k1"), F.xxhash64("doc_id").alias("k2"), "text")
+    quality.Model(quality.train(docs.select("lang", "text"))).of_texts(keyed).count()
+
+    def remembered(batches):
+        import sys
+
+        for _ in batches:
+            pass
+        bpe, model = sys.modules.get("tessaphon.llm.word_bpe"), sys.modules.get("tessaphon.llm.quality")
+        n = sum(len(m) + len(m.old) for tok in getattr(bpe, "_made", {}).values() for m in (tok.words, tok.chunks)) + len(getattr(model, "_shards", {}))
+        yield pa.RecordBatch.from_pydict({"n": [n], "used": [bpe is not None]})
+
+    found = docs.select("doc_id").mapInArrow(remembered, "n long, used boolean").collect()
+    assert any(x["used"] for x in found) and all(x["n"] == 0 for x in found)
