@@ -133,3 +133,23 @@ def test_rows_of_a_large_cluster_stay_in_proportion(spark, monkeypatch):
     assert got[-1] == " ".join(words) and got[2001] == ""
     # All pairs would be two million, and each of them under many keys.
     assert max(most.values()) <= 80 * len(docs), most
+
+
+def test_lists_of_many_nodes_are_cut_down_at_once():
+    """As each node's list by itself, with copies, ties, own ids and lists of no entries."""
+    r = np.random.default_rng(4)
+    lists = [[(r.integers(0, 30, k), r.integers(0, 9, k).astype("<f4") / 8, bool(r.integers(2))) for k in r.integers(0, 12, m)] for m in r.integers(0, 6, 300)]
+    own = r.integers(0, 30, len(lists))
+    flat = [(row, i, s, old) for row, one in enumerate(lists) for ids, scores, old in one for i, s in zip(ids, scores, strict=True)]
+    row, ids, scores, old = (np.array(c, t) for c, t in zip(zip(*flat, strict=True), (np.int16, np.int64, np.float32, bool), strict=True))
+    near, best, kept, new = ann._best_of_rows(row, ids, scores, old, own, 7)
+    ends = np.cumsum(kept)
+    for k, one in enumerate(lists):
+        wanted = ann._best(np.concatenate([np.empty(0, np.int64), *(i for i, _, _ in one)]), np.concatenate([np.empty(0, np.float32), *(s for _, s, _ in one)]), 7, own[k])
+        known = np.concatenate([np.empty(0, np.int64), *(i for i, _, o in one if o)])
+        part = slice(ends[k] - kept[k], ends[k])
+        assert near[part].tolist() == wanted[0].tolist() and best[part].tolist() == wanted[1].tolist() and new[k] == np.count_nonzero(~np.isin(wanted[0], known))
+    column = ann._packed(near, kept)
+    values, sizes = ann._flat(column.slice(5, 100), "<i8")
+    assert sizes.tolist() == kept[5:105].tolist() and values.tolist() == near[ends[4] : ends[104]].tolist()
+    assert ann._flat(column.slice(0, 0), "<i8")[0].tolist() == []
