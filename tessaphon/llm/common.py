@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Rows in a batch between the JVM and Python: long texts in Spark's 10,000 take tens of MB on both sides.
+BATCH_ROWS, _BATCH = 1_000, "spark.sql.execution.arrow.maxRecordsPerBatch"
 #: Most bytes that a side may have before ``join_checked`` stops broadcasting it.
 BROADCAST_BYTES = 16 << 20
 
@@ -39,8 +41,13 @@ def fresh(spark: SparkSession, tag: str) -> str:
 def cut(df: DataFrame, tag: str) -> DataFrame:
     """Write a table to the shared folder and read it again: its lineage ends here."""
     spark = df.sparkSession
-    path = fresh(spark, tag)
-    df.write.parquet(path)
+    path, before = fresh(spark, tag), int(spark.conf.get(_BATCH))
+    # Only for this write; the caller's limit holds if it is lower, and comes back.
+    spark.conf.set(_BATCH, min(before, BATCH_ROWS) if before > 0 else BATCH_ROWS)
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_BATCH, before)
     out = spark.read.schema(df.schema).parquet(path)
     out._tessaphon_path = path
     return out

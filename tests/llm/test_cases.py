@@ -14,6 +14,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tessaphon.llm import ann, chat, licenses, media, packing, quality, registry, sentencepiece_fst, sharding
+from tessaphon.llm.common import BATCH_ROWS, cut
 
 DOCS = "doc_id long, text string"
 #: Names that operators use inside.
@@ -282,3 +283,14 @@ def test_workers_that_wait_hold_nothing(spark):
 
     found = docs.select("doc_id").mapInArrow(remembered, "n long, used boolean").collect()
     assert any(x["used"] for x in found) and all(x["n"] == 0 for x in found)
+
+
+def test_tables_are_cut_in_small_batches(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows]})
+
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    found = cut(spark.range(0, 5000, 1, 1).mapInArrow(sizes, "n long"), "batch-sizes").collect()
+    assert sum(x["n"] for x in found) == 5000 and max(x["n"] for x in found) <= BATCH_ROWS
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
