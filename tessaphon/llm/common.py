@@ -38,12 +38,15 @@ def fresh(spark: SparkSession, tag: str) -> str:
     return f"{shared_dir(spark)}/tessaphon/{tag}-{uuid.uuid4().hex}"
 
 
-def cut(df: DataFrame, tag: str) -> DataFrame:
-    """Write a table to the shared folder and read it again: its lineage ends here."""
+def cut(df: DataFrame, tag: str, rows: int = BATCH_ROWS) -> DataFrame:
+    """Write a table to the shared folder and read it again: its lineage ends here.
+
+    A batch between the JVM and Python has at most so many rows.
+    """
     spark = df.sparkSession
     path, before = fresh(spark, tag), int(spark.conf.get(_BATCH))
     # Only for this write; the caller's limit holds if it is lower, and comes back.
-    spark.conf.set(_BATCH, min(before, BATCH_ROWS) if before > 0 else BATCH_ROWS)
+    spark.conf.set(_BATCH, min(before, rows) if before > 0 else rows)
     try:
         df.write.parquet(path)
     finally:

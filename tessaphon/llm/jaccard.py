@@ -7,7 +7,7 @@ Candidates share one of 50 bands of five MinHash values, which a pair at the
 threshold of 0.8 misses once in 4e8.  Pairs are never listed: nodes that share
 a band get the smallest label among their band mates, nodes of a label are
 dealt into blocks of about 256, and what is listed is pairs of blocks (tiles)
-that share a band.  A tile compares its nodes' MinHash values step by step and
+that share a band; a block goes to its tiles as one row.  A tile compares its nodes' MinHash values step by step and
 drops a pair when the posterior probability (uniform prior) that its similarity
 reaches the threshold falls below the tolerance.  Nodes with a pair left have
 their shingle sets compared exactly, again by tile.  A pair of nodes lies in
@@ -28,6 +28,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,6 +36,8 @@ from .common import cut, forget, frugal, join_checked
 from .wfst import Memo
 
 WORDS, THRESHOLD, BANDS, ROWS, COMPARED, STEP, TOLERANCE, BLOCK = 5, 0.8, 50, 5, 64, 16, 1e-6, 256
+#: Blocks in a batch between the JVM and Python.
+BLOCK_ROWS = 50
 _WORD = re.compile(r"[^\W_]+")
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 _factors = (np.random.Generator(np.random.PCG64(20240607)).integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
@@ -169,10 +172,17 @@ def _sides(table):
     return (left, right) if len(right) else (left, left)
 
 
+def _unpacked(table):
+    """A row for each member."""
+    lists = table["members"].combine_chunks()
+    of, members = pa.compute.list_parent_indices(lists), lists.flatten()
+    return table.select(["tile", "side"]).take(of).append_column("node", members.field("node")).append_column("sig", members.field("sig"))
+
+
 def _prune(batches):
-    """tile, side, node, sig: the rows that have a pair left after pruning."""
+    """tile, side, members (node, sig): tile, side, node of those that have a pair left after pruning."""
     least = least_matches(THRESHOLD, TOLERANCE)
-    for table in _by_tile(batches):
+    for table in map(_unpacked, _by_tile(batches)):
         left, right = _sides(table)
         sig = np.frombuffer(b"".join(table["sig"].to_pylist()), np.uint32).reshape(-1, COMPARED)
         i, j = np.triu_indices(len(left), 1) if left is right else (x.ravel() for x in np.indices((len(left), len(right))))
@@ -273,20 +283,20 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     profile = lambda what: profiled.filter(own).select(node, what).dropDuplicates(["node", what])
     posted = profile("bands").select(F.explode("bands").alias("band"), "node")
     several = posted.groupBy("band").agg(F.count("*").alias("c"), F.min("node").alias("low")).filter("c > 1").select("band", "low")
-    posts = cut(posted.join(several, "band"), "jaccard-posts")
-    labels = cut(posts.groupBy("node").agg(F.min("low").alias("label")), "jaccard-labels")
+    labels = cut(posted.join(several, "band").groupBy("node").agg(F.min("low").alias("label"), F.collect_set("band").alias("bands")), "jaccard-labels")
     sizes = labels.groupBy("label").agg(F.count("*").alias("size"))
-    blocks = cut(labels.join(sizes, "label").select("node", F.xxhash64("label", F.pmod(F.xxhash64(F.lit("block"), "node"), F.ceil(F.col("size") / BLOCK))).alias("block")), "jaccard-blocks")
-    held = cut(posts.join(blocks, "node").select("band", "block").distinct(), "jaccard-bands")
-    forget(posts, labels)
+    blocks = cut(labels.join(sizes, "label").select("node", "bands", F.xxhash64("label", F.pmod(F.xxhash64(F.lit("block"), "node"), F.ceil(F.col("size") / BLOCK))).alias("block")), "jaccard-blocks")
+    held = cut(blocks.select(F.explode("bands").alias("band"), "block").distinct(), "jaccard-bands")
+    forget(labels)
     tiles = held.select("band", F.col("block").alias("b1")).join(held.select("band", F.col("block").alias("b2")), "band").filter("b1 <= b2").select("b1", "b2").distinct()
     tiles = cut(tiles.select("b1", "b2", F.xxhash64("b1", "b2").alias("tile")), "jaccard-tiles")
     forget(held)
     first = tiles.select("tile", F.col("b1").alias("block"), F.lit(1).alias("side"))
     second = tiles.filter("b1 <> b2").select("tile", F.col("b2").alias("block"), F.lit(2).alias("side"))
-    members = first.unionByName(second).join(blocks, "block").select("tile", "side", "node")
-    tiled = members.join(profile("sig"), "node").select("tile", "side", "node", "sig").repartition(parts, "tile").sortWithinPartitions("tile")
-    left = cut(tiled.mapInArrow(frugal(_prune), "tile long, side int, node long"), "jaccard-left")
+    # A block travels to its tiles as one row.
+    members = blocks.select("node", "block").join(profile("sig"), "node").groupBy("block").agg(F.collect_list(F.struct("node", "sig")).alias("members"))
+    tiled = first.unionByName(second).join(members, "block").select("tile", "side", "members").repartition(parts, "tile").sortWithinPartitions("tile")
+    left = cut(tiled.mapInArrow(frugal(_prune), "tile long, side int, node long"), "jaccard-left", BLOCK_ROWS)
     forget(profiled, tiles, blocks)
     wanted = cut(left.select("node").distinct().join(copies.select(node, "key", "first", "copies"), "node").select("node", "first", F.col("key").alias("wanted"), "copies"), "jaccard-wanted")
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))

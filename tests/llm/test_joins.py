@@ -151,3 +151,34 @@ def test_quality_cases(spark):
     assert kept.columns == docs.columns and 500 not in ids and {501, 502, 503, 504} <= ids and len(ids) > 118
     assert quality.keep_good(docs.limit(0), labels).count() == 0
     assert quality.keep_good(docs, labels.limit(0)).count() == 125
+
+
+def join_rows(spark, since, keys):
+    """Most rows that one join on these keys has made in the executions after that number."""
+    store, most = spark._jsparkSession.sharedState().statusStore(), 0
+    executions = store.executionsList()
+    for e in (executions.apply(k).executionId() for k in range(executions.size())):
+        if e <= since:
+            continue
+        values, nodes = store.executionMetrics(e), store.planGraph(e).allNodes()
+        for node in (nodes.apply(k) for k in range(nodes.size())):
+            metrics = [node.metrics().apply(k) for k in range(node.metrics().size())]
+            if "Join" in node.name() and all(f"[{k}#" in node.desc() for k in keys):
+                made = [values.apply(m.accumulatorId()) for m in metrics if m.name() == "number of output rows" and values.contains(m.accumulatorId())]
+                most = max([most, *(int(m.replace(",", "")) for m in made)])
+    return most
+
+
+def test_joins_of_a_large_group_make_no_row_for_each_tile_of_a_node(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK", 4)
+    r, base = random.Random(4), [f"w{k}" for k in range(120)]
+    docs = [(k, " ".join(f"x{k}" if r.random() < 0.03 else w for w in base)) for k in range(160)]
+    store = spark._jsparkSession.sharedState().statusStore()
+    executions = store.executionsList()
+    since = max((executions.apply(k).executionId() for k in range(executions.size())), default=-1)
+    jaccard.join(spark.createDataFrame(docs, DOCS)).collect()
+    tiles = join_rows(spark, since, ["block"])
+    assert 0 < tiles <= 3000  # two sides of 40 * 41 / 2 tiles or so, not four times as many
+    tile = spark.createDataFrame([(5, 1, [(7, b"a"), (9, b"b")]), (5, 2, [(8, b"c")])], "tile long, side int, members array<struct<node long, sig binary>>")
+    table = jaccard._unpacked(next(jaccard._by_tile(tile.toArrow().to_batches())))
+    assert table.to_pydict() == {"tile": [5] * 3, "side": [1, 1, 2], "node": [7, 9, 8], "sig": [b"a", b"b", b"c"]}
