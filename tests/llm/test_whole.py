@@ -153,3 +153,28 @@ def test_lists_of_many_nodes_are_cut_down_at_once():
     values, sizes = ann._flat(column.slice(5, 100), "<i8")
     assert sizes.tolist() == kept[5:105].tolist() and values.tolist() == near[ends[4] : ends[104]].tolist()
     assert ann._flat(column.slice(0, 0), "<i8")[0].tolist() == []
+
+
+def test_search_takes_as_many_stages_however_often_lists_change(spark):
+    """Descent and walk run within tasks: their rounds add no stage."""
+    r = np.random.default_rng(5)
+    df = spark.createDataFrame([(k, [float(v) for v in row]) for k, row in enumerate(r.standard_normal((2500, 8)))], "vec_id long, embedding array<double>")
+    tracker, context = spark.sparkContext.statusTracker(), spark.sparkContext
+    context.setJobGroup("rounds", "rounds")
+    assert ann.search(df, 20, 20).count() == 125 * 20
+    stages = {s for job in tracker.getJobIdsForGroup("rounds") for s in tracker.getJobInfo(job).stageIds if tracker.getStageInfo(s) is not None}
+    context.setLocalProperty("spark.jobGroup.id", None)
+    assert 0 < len(stages) <= 120
+
+
+def test_a_block_is_walked_like_brute_force():
+    r = np.random.default_rng(6)
+    x = r.standard_normal((2500, 16))
+    ids, v = np.arange(0, 7500, 3), r.standard_normal((40, 16))
+    near, found = ann.neighbours(x.astype(np.float32), ann.DEGREE, ann.TREES, 256, ann.CONVERGED)
+    assert (np.diff(found, axis=1) <= 0).all() and (near != np.arange(2500)[:, None]).all()
+    hits = 0
+    for query, (got, scores) in zip(v, ann.through(v, np.full(40, 1), ids, near, x), strict=True):
+        assert np.allclose(scores, x[got // 3] @ query) and len(set(got.tolist())) == len(got)
+        hits += len(set(got[:20].tolist()) & set((np.argsort(-(x @ query))[:20] * 3).tolist()))
+    assert hits >= 0.95 * 800
