@@ -1,11 +1,13 @@
 """Near-duplicate lines by a segment-partition edit join.
 
-Two lines are near if their edit distance (code points) is at most 2.  A line
-is cut into threshold + 1 segments; of two near lines, one has a segment of
-the other unchanged, at one of few places that the lengths allow.  So each line
-is indexed by its segments, keyed by length, number and text, and probes, for
-its own length and the lengths up to the threshold below it, with the substrings
-that the multi-match-aware rule admits: 3 keys of its own and 9 others.
+Two lines are near if their edit distance (code points) is at most 2.  Lengths
+are in classes, each about a fifth longer than the one below.  A line is cut into
+threshold + 1 segments of equal size, a third of the least length of its class,
+the last one at its end; of two near lines, one has a segment of the other unchanged:
+the first at its start, the second within one place, or the last at its end.
+So each line is indexed by its segments, keyed by class, number and text, and
+probes with the second one's neighbours: 5 keys.  A line that is longer than the
+shortest of its class by less than 2 probes with 5 keys of the class below too.
 
 Keys are first aggregated to (key, smallest line, largest line), which drops
 those of one line, however often it occurs; lines meet only on the rest.  Lines that
@@ -48,31 +50,31 @@ _SEEN = "[^\\s\\p{Z}]"
 PARTS = THRESHOLD + 1
 
 
-def _measured(rows: DataFrame, text: str) -> DataFrame:
-    """With what the keys are made of, once for each row: for each length, the size of a segment and how many are longer by one."""
-    sized = rows.withColumn("_n0", F.char_length(text))
-    for delta in range(1, PARTS):
-        sized = sized.withColumn(f"_n{delta}", F.col("_n0") - delta)
-    return sized.select("*", *(F.expr(f"CAST(_n{d} DIV {PARTS} AS INT)").alias(f"_b{d}") for d in range(PARTS)), *(F.expr(f"_n{d} % {PARTS}").alias(f"_m{d}") for d in range(PARTS)))
+def _floor(n):
+    """The least length of the class of a length: four classes to a power of two, of two lengths at least."""
+    width = F.call_function("shiftleft", F.lit(1), F.greatest(F.floor(F.log2(F.greatest(n, F.lit(1)))).cast("int") - 2, F.lit(1)))
+    return n - n % width
 
 
-def _segment(delta: int, i: int):
-    """Start (from 1) and size of segment i (from 1) of a text of a length: even, the longer ones last."""
-    base, short = F.col(f"_b{delta}"), F.lit(PARTS) - F.col(f"_m{delta}")
-    start = base * (i - 1) + 1
-    return (start if i == 1 else start + F.greatest(F.lit(i - 1) - short, F.lit(0))), base + F.when(short < i, 1).otherwise(0)
+def _measured(rows: DataFrame, text: str) -> DataFrame:
+    """With what the keys are made of, once for each row: length, size of a segment in its class and, if a text near it can be of the one below, in that."""
+    sized = rows.withColumn("_n", F.char_length(text))
+    sized = sized.withColumn("_l0", _floor(F.col("_n"))).withColumn("_l1", F.when(F.col("_n") - THRESHOLD < F.col("_l0"), _floor(F.col("_n") - THRESHOLD)))
+    return sized.select("*", *(F.expr(f"CAST(_l{d} DIV {PARTS} AS INT)").alias(f"_b{d}") for d in range(2)))
 
 
 def _keys():
-    """(length, number, start, size) of a measured text's own segments, then of those that it probes with."""
+    """(class, number, start, size) of a measured text's own segments, then of those that it probes with; a size is null where there is no such key."""
     own, probes = [], []
-    for delta in range(PARTS):
-        for i in range(1, PARTS + 1):
-            start, size = _segment(delta, i)
-            low = max(-(i - 1), delta - (PARTS - i))
-            high = min(i - 1, delta + (PARTS - i))
-            for shift in range(low, high + 1):
-                (own if delta == 0 and shift == 0 else probes).append((F.col(f"_n{delta}"), i, start + shift if shift else start, size))
+    for d in range(2):
+        size, length = F.col(f"_b{d}"), F.col(f"_l{d}")
+        first, last = (length, 1, F.lit(1), size), (length, PARTS, F.col("_n") - size + 1, size)
+        middle = {shift: (length, 2, size + 1 + shift, size) for shift in (-1, 0, 1)}
+        if d == 0:
+            own += [first, middle[0], last]
+            probes += [middle[-1], middle[1]]
+        else:
+            probes += [first, *(middle[k] for k in (-1, 0, 1)), last]
     return own, probes
 
 
@@ -87,8 +89,10 @@ def _posted(rows: DataFrame, text: str, *kept, parent: str | None = None) -> Dat
     """kept, key, k (its number) and indexed (whether it is of an own segment)."""
     own, probes = _keys()
     more = [] if parent is None else [F.col(parent)]
-    each = [F.xxhash64(*more, of, F.lit(i), F.substring(text, start, size)) for of, i, start, size in (*own, *probes)]
-    out = _measured(rows, text).select(*kept, F.posexplode(F.array(*each)).alias("k", "key"))
+    key = lambda of, i, start, size: F.xxhash64(*more, of, F.lit(i), F.substring(text, start, size))
+    each, below = (F.array(*(key(*x) for x in some)) for some in ((*own, *probes)[: PARTS + 2], probes[2:]))
+    every = F.when(F.col("_l1").isNull(), each).otherwise(F.concat(each, below))
+    out = _measured(rows, text).select(*kept, F.posexplode(every).alias("k", "key"))
     return out.select(*kept, "key", "k", (F.col("k") < len(own)).alias("indexed"))
 
 
@@ -97,7 +101,7 @@ def _without(rows: DataFrame) -> DataFrame:
     own, probes = _keys()
     left = F.lit(None).cast("string")
     for k, (_, _, start, size) in enumerate((*own, *probes)):
-        left = F.when(F.col("k") == k, F.concat(F.substring("text", F.lit(1), start - 1), F.substring("text", start + size, F.col("_n0")))).otherwise(left)
+        left = F.when(F.col("k") == k, F.concat(F.substring("text", F.lit(1), start - 1), F.substring("text", start + size, F.col("_n")))).otherwise(left)
     return _measured(rows, "text").withColumn("rest", left)
 
 
