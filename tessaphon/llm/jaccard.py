@@ -129,22 +129,23 @@ def profiles(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(frugal(run), "id long, key string, n int, bands array<long>, sig binary")
 
 
-def shingle_sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id, key, set (sorted 64-bit hashes, little-endian)."""
+def shingle_sets(texts: DataFrame) -> DataFrame:
+    """node, wanted, copies, text to node, key, copies, set (sorted 64-bit hashes, little-endian), where the text has the wanted key."""
 
     def run(batches):
         import hashlib
 
         memo = _word_memo()
         for batch in batches:
-            keys, sets = [], []
-            for text in batch[1]:
+            rows, sets = [], []
+            for i, (wanted, text) in enumerate(zip(batch[1].to_pylist(), batch[3], strict=True)):
                 found = words(text.as_py() or "")
-                keys.append(hashlib.blake2b(" ".join(found).encode(), digest_size=16).hexdigest())
-                sets.append(shingles(found, memo).tobytes())
-            yield pa.RecordBatch.from_arrays([batch[0], pa.array(keys, pa.string()), pa.array(sets, pa.binary())], ["id", "key", "set"])
+                if hashlib.blake2b(" ".join(found).encode(), digest_size=16).hexdigest() == wanted:
+                    rows.append(i)
+                    sets.append(shingles(found, memo).tobytes())
+            yield pa.RecordBatch.from_arrays([*(c.take(pa.array(rows, pa.int64())) for c in batch.columns[:3]), pa.array(sets, pa.binary())], ["node", "key", "copies", "set"])
 
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(frugal(run), "id long, key string, set binary")
+    return texts.select("node", "wanted", "copies", "text").mapInArrow(frugal(run), "node long, key string, copies long, set binary")
 
 
 def _by_tile(batches):
@@ -280,10 +281,13 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     copies = cut(rows.filter(own).groupBy("key").agg(F.min("id").alias("first"), F.count("*").alias("copies")), "jaccard-copies")
     # Nodes go by 64 bits of their key until sets are compared; two of equal bits only meet once more.
     node = F.xxhash64("key").alias("node")
-    profile = lambda what: profiled.filter(own).select(node, what).dropDuplicates(["node", what])
-    posted = profile("bands").select(F.explode("bands").alias("band"), "node")
-    several = posted.groupBy("band").agg(F.count("*").alias("c"), F.min("node").alias("low")).filter("c > 1").select("band", "low")
-    labels = cut(posted.join(several, "band").groupBy("node").agg(F.min("low").alias("label"), F.collect_set("band").alias("bands")), "jaccard-labels")
+    posted = profiled.filter(own).select(node, "bands").dropDuplicates(["node", "bands"]).select(F.explode("bands").alias("band"), "node")
+    # Most bands have one node: only what two share is asked for its smallest one.
+    several = posted.groupBy("band").agg(F.count("*").alias("c")).filter("c > 1").select("band")
+    met = cut(posted.join(several, "band"), "jaccard-met")
+    lows = met.groupBy("band").agg(F.min("node").alias("low"))
+    labels = cut(met.join(lows, "band").groupBy("node").agg(F.min("low").alias("label"), F.collect_set("band").alias("bands")), "jaccard-labels")
+    forget(met)
     sizes = labels.groupBy("label").agg(F.count("*").alias("size"))
     blocks = cut(labels.join(sizes, "label").select("node", "bands", F.xxhash64("label", F.pmod(F.xxhash64(F.lit("block"), "node"), F.ceil(F.col("size") / BLOCK))).alias("block")), "jaccard-blocks")
     held = cut(blocks.select(F.explode("bands").alias("band"), "block").distinct(), "jaccard-bands")
@@ -293,15 +297,17 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     forget(held)
     first = tiles.select("tile", F.col("b1").alias("block"), F.lit(1).alias("side"))
     second = tiles.filter("b1 <> b2").select("tile", F.col("b2").alias("block"), F.lit(2).alias("side"))
-    # A block travels to its tiles as one row.
-    members = blocks.select("node", "block").join(profile("sig"), "node").groupBy("block").agg(F.collect_list(F.struct("node", "sig")).alias("members"))
+    # A block travels to its tiles as one row; a node's values travel once, to where it joins its block.
+    sigs = profiled.filter(own).groupBy(node).agg(F.collect_set("sig").alias("sigs"))
+    members = blocks.select("node", "block").join(sigs, "node").select("node", "block", F.explode("sigs").alias("sig")).groupBy("block").agg(F.collect_list(F.struct("node", "sig")).alias("members"))
     tiled = first.unionByName(second).join(members, "block").select("tile", "side", "members").repartition(parts, "tile").sortWithinPartitions("tile")
     left = cut(tiled.mapInArrow(frugal(_prune), "tile long, side int, node long"), "jaccard-left", BLOCK_ROWS)
     forget(profiled, tiles, blocks)
     wanted = cut(left.select("node").distinct().join(copies.select(node, "key", "first", "copies"), "node").select("node", "first", F.col("key").alias("wanted"), "copies"), "jaccard-wanted")
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    texts = join_checked(base, wanted, F.col("id") == F.col("first"), "left_semi")
-    sets = shingle_sets(texts, "id", "text").join(wanted, (F.col("key") == F.col("wanted")) & (F.col("id") == F.col("first"))).select("node", "key", "copies", "set").dropDuplicates(["key"])
+    texts = join_checked(base, wanted, F.col("id") == F.col("first")).select("node", "wanted", "copies", "text")
+    # Sets travel twice: by node, where repeated rows of a node's first document fall together, and by tile.
+    sets = shingle_sets(texts).repartition(parts, "node").dropDuplicates(["node", "key"])
     full = left.distinct().join(sets, "node").select("tile", "side", "key", "copies", "set").repartition(parts, "tile").sortWithinPartitions("tile")
     found = cut(full.mapInArrow(frugal(_verify), "key string, root string, texts long, docs long"), "jaccard-links")
     forget(left, wanted)

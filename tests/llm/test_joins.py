@@ -182,3 +182,28 @@ def test_joins_of_a_large_group_make_no_row_for_each_tile_of_a_node(spark, monke
     tile = spark.createDataFrame([(5, 1, [(7, b"a"), (9, b"b")]), (5, 2, [(8, b"c")])], "tile long, side int, members array<struct<node long, sig binary>>")
     table = jaccard._unpacked(next(jaccard._by_tile(tile.toArrow().to_batches())))
     assert table.to_pydict() == {"tile": [5] * 3, "side": [1, 1, 2], "node": [7, 9, 8], "sig": [b"a", b"b", b"c"]}
+
+
+def _shuffled(spark):
+    """Bytes that each stage so far has written to shuffles."""
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    gateway = spark.sparkContext._gateway
+    stages = spark.sparkContext._jsc.sc().statusStore().stageList(None, False, False, gateway.new_array(gateway.jvm.double, 0), gateway.jvm.java.util.ArrayList())
+    return {stages.apply(i).stageId(): stages.apply(i).shuffleWriteBytes() for i in range(stages.size())}
+
+
+def test_jaccard_sends_sets_twice(spark):
+    r = random.Random(11)
+    texts = [" ".join(str(r.randrange(10**9)) for _ in range(1500)) for _ in range(60)]
+    docs = [(2 * k + more, t + " again" * more) for k, t in enumerate(texts) for more in (0, 1)]
+    size = 8 * 1497 * len(docs)
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        before = _shuffled(spark)
+        got = {x.doc_id: (x.class_id, x.n_links) for x in jaccard.join(spark.createDataFrame(docs, DOCS)).collect()}
+        large = [v for k, v in _shuffled(spark).items() if k not in before and v > size // 2]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    assert got == {k: (k - k % 2, 1) for k in range(len(docs))}
+    assert 1 <= len(large) <= 2
