@@ -107,6 +107,16 @@ def give_back() -> None:
         trim(0)
 
 
+def shrink(spark: SparkSession) -> None:
+    """Let each executor's JVM collect its garbage and give the heap that it doesn't fill back to the system.
+
+    A heap that one step has filled with garbage stays as large in the next one, whose Python workers need room beside it.
+    As many tasks as there are executors: idle ones get one each; one that is missed only keeps its heap.
+    """
+    executors = max(1, spark.sparkContext._jsc.sc().getExecutorMemoryStatus().size() - 1)
+    spark.range(0, executors, 1, executors).select(F.expr("reflect('java.lang.System', 'gc')").alias("gc")).write.format("noop").mode("overwrite").save()
+
+
 def text_of(column: str = "text"):
     """A text column with null as the empty text."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, forget, frugal, join_checked
+from .common import cut, forget, frugal, join_checked, shrink
 
 ORDER, QUANTILE, FOLDS, PRIOR_CHARS = 5, 0.995, 2, 200
 #: Entries of a shard of the model; partial counts, words and n-grams remembered in a task in all; words that are broadcast;
@@ -341,6 +341,7 @@ class Model:
         rows = self.table.select(F.xxhash64("lang", "part", "gram").alias("key"), "value").toArrow()
         keys = rows["key"].to_numpy().view(np.uint64)
         order = np.argsort(keys)
+        shrink(texts.sparkSession)
         held = texts.sparkSession.sparkContext.broadcast((keys[order], rows["value"].to_numpy()[order]))
 
         def score(batches):

@@ -31,3 +31,20 @@ def test_stages_on_a_small_corpus(spark, tmp_path):
     assert {300, 301, None, 3} <= {x.doc_id for x in single}
     assert {x.doc_id for x in packed} == {x.doc_id for x in single}
     assert corpus_pipeline.ORACLE_SQL is None
+
+
+def test_a_stage_gives_unused_heap_back(spark, tmp_path, monkeypatch):
+    heap = spark.sparkContext._jvm.java.lang.Runtime.getRuntime()
+    docs = spark.createDataFrame([(1, "one two", "en", "s", 0)], "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(f"{tmp_path}/labels.parquet")
+    monkeypatch.setattr(corpus_pipeline.quality, "keep_good", lambda docs, labels: docs)
+    monkeypatch.setattr(corpus_pipeline.linededup, "dedup", lambda docs, short: docs)
+    monkeypatch.setattr(corpus_pipeline.jaccard, "keep_one", lambda docs: docs)
+    for name in ("pieces", "pack"):
+        monkeypatch.setattr(corpus_pipeline.packing, name, lambda docs, *_: docs)
+    monkeypatch.setattr(corpus_pipeline, "cut", lambda docs, tag: docs)
+    for name, stage in corpus_pipeline.STAGES:
+        spark.range(0, 24, 1, 4).selectExpr("length(repeat('x', 150000000 + cast(id as int)))").collect()
+        before = heap.totalMemory()
+        stage(spark, docs, str(tmp_path))
+        assert heap.totalMemory() < before - (1 << 29), name
